@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference has no streaming operator (no watermark, window state or late
+data); it lists a streaming pipeline only as a future idea.  Nothing is built
+here on purpose -- see README "Not built".
+"""
