@@ -1 +1,51 @@
 """Registrations beyond the first slice (imported lazily by the registry)."""
+
+from __future__ import annotations
+
+from .functions.scalar import round6
+from .plans import momentum as mom
+from .plans import price
+from .registry import register
+from .sources import tables as src
+from .sql import momentum as mom_sql
+
+
+def _bars(spark, d, ticker="type"):
+    return price.by_ticker(src.bars(spark, d, ticker))
+
+
+# ---------------------------------------------------------------- M01-M38
+
+_M_IDS = {
+    "adx": "M01", "adxr": "M02", "apo": "M03", "aroon_1": "M04", "aroon_2": "M05",
+    "aroonosc": "M06", "bop": "M07", "cci": "M08", "cmo": "M09", "dx": "M10", "macd": "M11",
+    "macdsignal": "M12", "macdhist": "M13", "macd_ext": "M14", "macdsignal_ext": "M15",
+    "macdhist_ext": "M16", "macd_fix": "M17", "macdsignal_fix": "M18", "macdhist_fix": "M19",
+    "minus_di": "M20", "mom": "M21", "plus_di": "M22", "dm": "M23", "ppo": "M24", "roc": "M25",
+    "rocp": "M26", "rocr": "M27", "rocr100": "M28", "rsi": "M29", "slowk": "M30", "slowd": "M31",
+    "fastk": "M32", "fastd": "M33", "fastk_rsi": "M34", "fastd_rsi": "M35", "trix": "M36",
+    "ultosc": "M37", "willr": "M38",
+}
+
+
+def _indicator_query(name):
+    def q(spark, d):
+        return mom.momentum_daily(_bars(spark, d)).select("ticker", "date", round6(name).alias(name))
+
+    return q
+
+
+for _name, _id in _M_IDS.items():
+    register(f"{_id}_{_name}", mom_sql.indicator_sql(_name))(_indicator_query(_name))
+
+
+@register("C03_momentum", mom_sql.momentum_daily_sql())
+def _c03(spark, d):
+    daily = mom.momentum_daily(_bars(spark, d))
+    return daily.select("ticker", "date", *[round6(c).alias(c) for c in mom.MOMENTUM_COLUMNS])
+
+
+@register("G02_momentum_month_median", mom_sql.momentum_monthly_sql())
+def _g02(spark, d):
+    m = mom.momentum_monthly(mom.momentum_daily(_bars(spark, d)))
+    return m.select("ticker", "date", *[round6(c).alias(c) for c in mom.MOMENTUM_COLUMNS])
