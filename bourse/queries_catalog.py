@@ -49,3 +49,31 @@ def _c03(spark, d):
 def _g02(spark, d):
     m = mom.momentum_monthly(mom.momentum_daily(_bars(spark, d)))
     return m.select("ticker", "date", *[round6(c).alias(c) for c in mom.MOMENTUM_COLUMNS])
+
+
+# ---------------------------------------------------------------- K01-K61
+
+from .plans import candles  # noqa: E402
+from .plans import patterns as pat  # noqa: E402
+from .sql import patterns as pat_sql  # noqa: E402
+
+
+def _pattern_query(name):
+    def q(spark, d):
+        return pat.patterns_daily(_bars(spark, d)).select("ticker", "date", name)
+
+    return q
+
+
+for _i, _name in enumerate(candles.PATTERN_COLUMNS, start=1):
+    register(f"K{_i:02d}_{_name}", pat_sql.pattern_sql(_name))(_pattern_query(_name))
+
+
+@register("C04_patterns", pat_sql.patterns_daily_sql())
+def _c04(spark, d):
+    return pat.patterns_daily(_bars(spark, d))
+
+
+@register("G03_patterns_month_median", pat_sql.patterns_monthly_sql())
+def _g03(spark, d):
+    return pat.patterns_monthly(pat.patterns_daily(_bars(spark, d)))
