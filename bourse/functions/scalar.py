@@ -23,10 +23,12 @@ def round6(c) -> Column:
 
     ``round`` (half-up on the decimal) and ``bround`` (half-even on the
     decimal) both differ from numpy on some inputs; ``rint`` on the scaled
-    double is numpy's own algorithm.
+    double is numpy's own algorithm.  The value is first snapped to a 1e-12
+    grid so that a true half-way value (e.g. a mean of 7-decimal inputs)
+    rounds the same way whatever order a distributed sum added it in.
     """
     c = col(c)
-    return F.rint(c * F.lit(1e6)) / F.lit(1e6)
+    return F.rint(F.rint(c * F.lit(1e12)) / F.lit(1e6)) / F.lit(1e6)
 
 
 def safe_div(num, den) -> Column:
@@ -59,7 +61,7 @@ def clean_market_cap(c, scale_suffix: bool = False) -> Column:
     the x1e9 / x1e6 the suffixes mean.
     """
     c = col(c)
-    number = F.try_cast(F.translate(c, "$BM,", ""), "double")
+    number = F.translate(c, "$BM,", "").try_cast("double")
     if not scale_suffix:
         return number
     return (
@@ -71,7 +73,7 @@ def clean_market_cap(c, scale_suffix: bool = False) -> Column:
 
 def to_number(c) -> Column:
     """Numeric coercion, bad text -> null."""
-    return F.try_cast(col(c), "double")
+    return col(c).try_cast("double")
 
 
 def prev_month_end(d) -> Column:

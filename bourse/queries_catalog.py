@@ -77,3 +77,145 @@ def _c04(spark, d):
 @register("G03_patterns_month_median", pat_sql.patterns_monthly_sql())
 def _g03(spark, d):
     return pat.patterns_monthly(pat.patterns_daily(_bars(spark, d)))
+
+
+# ---------------------------------------------------------------- C05, C06, C02, C12
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from .functions import scalar as fn  # noqa: E402
+from .plans import fundamentals as fu  # noqa: E402
+from .plans import series as se  # noqa: E402
+from .plans import universe as un  # noqa: E402
+from .sql import features as feat_sql  # noqa: E402
+from .sql import fixtures as fx  # noqa: E402
+
+END_DATE = "2001-12-31"  # F07 of a fixed "today" (2002-01-15); never current_date in tests
+
+
+def _round_doubles(df):
+    return df.withColumns({c: round6(c) for c, t in df.dtypes if t == "double"})
+
+
+@register("C05_macro_features", feat_sql.macro_sql())
+def _c05(spark, d):
+    return _round_doubles(se.macro_features(src.macro(spark, d), se.FIXTURE_MACRO))
+
+
+@register("C06_market_features", feat_sql.market_sql())
+def _c06(spark, d):
+    return _round_doubles(se.market_features(src.market(spark, d), se.FIXTURE_MARKET))
+
+
+@register("J06_market_outer_join_fold", feat_sql.market_sql())
+def _j06(spark, d):
+    return _round_doubles(se.market_features_by_joins(src.market(spark, d), se.FIXTURE_MARKET))
+
+
+def _fund(spark, d):
+    return fu.fundamental_features(
+        src.statements(spark, d), src.profile(spark, d), src.holders(spark, d),
+        src.recommendations(spark, d), src.dividends(spark, d), src.calendar(spark, d),
+        END_DATE, fu.FIXTURE_ITEMS,
+    )
+
+
+@register("C02_fundamentals", feat_sql.fundamentals_sql(END_DATE))
+def _c02(spark, d):
+    return _fund(spark, d)
+
+
+@register(
+    "W10_W11_latest_statement_items",
+    fx.with_tables(
+        "SELECT ticker, " + ", ".join(f"{fx.r6(r)} AS {r}" for r in fu.FIXTURE_ITEMS) + " FROM latest",
+        statements=fx.STATEMENTS, latest=feat_sql.latest_items_sql(),
+    ),
+)
+def _w10(spark, d):
+    return _round_doubles(fu.latest_items(src.statements(spark, d), fu.FIXTURE_ITEMS))
+
+
+@register(
+    "G05_G06_dividend_stability",
+    fx.with_tables(
+        "SELECT ticker, " + fx.r6("CASE WHEN count(amount) > 1 AND avg(amount) <> 0 "
+                                  "THEN stddev_samp(amount) / avg(amount) END") + " AS dividend_stability "
+        "FROM divs GROUP BY ticker",
+        dividends=fx.DIVIDENDS,
+        divs="""SELECT y.ticker, y.year, coalesce(d.amount, 0.0) AS amount FROM (
+  SELECT ticker, unnest(range(min(year(date)), max(year(date)) + 1)) AS year FROM dividends GROUP BY ticker) y
+  LEFT JOIN (SELECT ticker, year(date) AS year, sum(amount) AS amount FROM dividends GROUP BY ticker, year(date)) d
+  ON y.ticker = d.ticker AND y.year = d.year""",
+    ),
+)
+def _g05(spark, d):
+    return _round_doubles(fu.dividend_stability(src.dividends(spark, d)))
+
+
+@register(
+    "G07_holder_stats",
+    fx.with_tables(
+        f"SELECT ticker, {fx.r6('avg(pct_held)')} AS pct_held_by_inst, count(*) AS institutional_holders_count "
+        "FROM holders GROUP BY ticker",
+        holders=fx.HOLDERS,
+    ),
+)
+def _g07(spark, d):
+    return _round_doubles(fu.holder_stats(src.holders(spark, d)))
+
+
+@register(
+    "G08_rating_stats",
+    fx.with_tables(
+        "SELECT ticker, t AS recent_rating_changes, "
+        + fx.r6("CASE WHEN t <> 0 THEN CAST(sb AS DOUBLE) / t END") + " AS strong_to_total_reco_ratio FROM ("
+        "SELECT ticker, sum(CASE WHEN period IN ('0m', '-1m', '-2m', '-3m') "
+        "THEN strong_buy + buy + hold + sell + strong_sell ELSE 0 END) AS t, "
+        "sum(CASE WHEN period IN ('0m', '-1m', '-2m', '-3m') THEN strong_buy ELSE 0 END) AS sb "
+        "FROM recommendations GROUP BY ticker)",
+        recommendations=fx.RECOMMENDATIONS,
+    ),
+)
+def _g08(spark, d):
+    return _round_doubles(fu.rating_stats(src.recommendations(spark, d)))
+
+
+@register(
+    "F08_days_to_earnings",
+    fx.with_tables(
+        f"SELECT ticker, CAST(datediff('day', DATE '{END_DATE}', earnings_dates[1]) AS DOUBLE) "
+        "AS days_to_next_earnings FROM calendar",
+        calendar=fx.CALENDAR,
+    ),
+)
+def _f08(spark, d):
+    return fu.earnings_days(src.calendar(spark, d), END_DATE)
+
+
+@register(
+    "G14_missing_per_ticker",
+    fx.with_tables(
+        "SELECT ticker, CAST(" + " + ".join(
+            f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END"
+            for c in ["debt_to_equity", "current_ratio", "cash_ratio", "working_capital", "working_capital_ratio",
+                      "retained_earnings_to_assets", "long_term_debt_to_equity", "operating_cf_margin",
+                      "free_cf_margin", "pct_held_by_inst", "strong_to_total_reco_ratio", "days_to_next_earnings",
+                      "dividend_stability", "trailing_peg", "esg_env", "dividend_yield",
+                      "institutional_holders_count", "recent_rating_changes", "sector", "industry", "country"]
+        ) + " AS INTEGER) AS missing_count FROM fund",
+        fund="(" + feat_sql.fundamentals_sql(END_DATE) + ")",
+    ),
+)
+def _g14(spark, d):
+    return fu.missing_per_ticker(_fund(spark, d))
+
+
+@register("C12_T01_top_tickers", feat_sql.top_tickers_sql(24))
+def _c12(spark, d):
+    return un.top_tickers(src.listing(spark, d), 24)
+
+
+@register("P05_top_tickers_scaled_caps", feat_sql.top_tickers_sql(5, scale_suffix=True))
+def _p05(spark, d):
+    return un.top_tickers(src.listing(spark, d), 5, scale_suffix=True)

@@ -104,7 +104,7 @@ def with_tables(body: str, **ctes: str) -> str:
 
 def r6(expr: str) -> str:
     """DuckDB twin of ``round6``: half-even rounding of x*1e6."""
-    return f"(round_even(({expr}) * 1e6, 0) / 1e6)"
+    return f"(round_even(round_even(({expr}) * 1e12, 0) / 1e6, 0) / 1e6)"
 
 
 def div(num: str, den: str) -> str:
