@@ -219,3 +219,620 @@ def _c12(spark, d):
 @register("P05_top_tickers_scaled_caps", feat_sql.top_tickers_sql(5, scale_suffix=True))
 def _p05(spark, d):
     return un.top_tickers(src.listing(spark, d), 5, scale_suffix=True)
+
+
+# ---------------------------------------------------------------- C07-C09, J, W07, F10-F13
+
+from .plans import dataset as ds  # noqa: E402
+from .sql import price as price_sql  # noqa: E402
+
+
+def _monthly_parts(spark, d, ticker="type"):
+    bars = _bars(spark, d, ticker)
+    price_m = price.price_features(bars)
+    mom_m = _round_doubles(mom.momentum_monthly(mom.momentum_daily(bars)))
+    pat_m = pat.patterns_monthly(pat.patterns_daily(bars))
+    macro = se.macro_features(src.macro(spark, d), se.FIXTURE_MACRO)
+    market = se.market_features(src.market(spark, d), se.FIXTURE_MARKET)
+    return price_m, mom_m, pat_m, macro, market
+
+
+def full_dataset_query(spark, d, ticker="type"):
+    price_m, mom_m, pat_m, macro, market = _monthly_parts(spark, d, ticker)
+    return _round_doubles(ds.full_dataset(price_m, _fund(spark, d), mom_m, pat_m, macro, market))
+
+
+def _c07_sql(ticker="type"):
+    return fx.with_tables(
+        "SELECT * FROM c_t WHERE target IS NOT NULL",
+        c_price=price_sql.price_sql(ticker),
+        c_fund=feat_sql.fundamentals_sql(END_DATE),
+        c_mom=mom_sql.momentum_monthly_sql(ticker),
+        c_pat=pat_sql.patterns_monthly_sql(ticker),
+        c_macro=feat_sql.macro_sql(),
+        c_market=feat_sql.market_sql(),
+        c_j="""SELECT p.*, f.* EXCLUDE (ticker), m.* EXCLUDE (ticker, date), k.* EXCLUDE (ticker, date),
+  ma.* EXCLUDE (date), mk.* EXCLUDE (date)
+FROM c_price p LEFT JOIN c_fund f ON p.ticker = f.ticker
+  LEFT JOIN c_mom m ON p.ticker = m.ticker AND p.date = m.date
+  LEFT JOIN c_pat k ON p.ticker = k.ticker AND p.date = k.date
+  LEFT JOIN c_macro ma ON p.date = ma.date
+  LEFT JOIN c_market mk ON p.date = mk.date""",
+        c_t="SELECT *, lead(close, 3) OVER (PARTITION BY ticker ORDER BY date) AS target FROM c_j",
+    )
+
+
+register("C07_full_dataset", _c07_sql())(full_dataset_query)
+
+
+@register("C08_impute")
+def _c08(spark, d):
+    return ds.impute(full_dataset_query(spark, d))
+
+
+@register("C09_preprocess")
+def _c09(spark, d):
+    return ds.preprocess(full_dataset_query(spark, d))
+
+
+def _price_m(spark, d):
+    return price.price_features(_bars(spark, d))
+
+
+def _join_sql(right_sql: str, on: str, exclude: str) -> str:
+    return fx.with_tables(
+        f"SELECT p.*, r.* EXCLUDE ({exclude}) FROM c_price p LEFT JOIN c_r r ON {on}",
+        c_price=price_sql.price_sql(), c_r=right_sql,
+    )
+
+
+@register("J01_join_monthly_momentum",
+          _join_sql(mom_sql.momentum_monthly_sql(), "p.ticker = r.ticker AND p.date = r.date", "ticker, date"))
+def _j01(spark, d):
+    bars = _bars(spark, d)
+    right = _round_doubles(mom.momentum_monthly(mom.momentum_daily(bars)))
+    return ds.left_join_many_to_one(price.price_features(bars), right, ["ticker", "date"])
+
+
+@register("J02_join_monthly_patterns",
+          _join_sql(pat_sql.patterns_monthly_sql(), "p.ticker = r.ticker AND p.date = r.date", "ticker, date"))
+def _j02(spark, d):
+    bars = _bars(spark, d)
+    right = pat.patterns_monthly(pat.patterns_daily(bars))
+    return ds.left_join_many_to_one(price.price_features(bars), right, ["ticker", "date"])
+
+
+@register("J03_join_macro", _join_sql(feat_sql.macro_sql(), "p.date = r.date", "date"))
+def _j03(spark, d):
+    right = se.macro_features(src.macro(spark, d), se.FIXTURE_MACRO)
+    return ds.left_join_many_to_one(_price_m(spark, d), right, ["date"], broadcast=True)
+
+
+@register("J04_join_market", _join_sql(feat_sql.market_sql(), "p.date = r.date", "date"))
+def _j04(spark, d):
+    right = se.market_features(src.market(spark, d), se.FIXTURE_MARKET)
+    return ds.left_join_many_to_one(_price_m(spark, d), right, ["date"], broadcast=True)
+
+
+@register(
+    "J05_cardinality_check",
+    fx.with_tables("SELECT ticker, date, count(*) AS count FROM c_m GROUP BY ticker, date HAVING count(*) > 1",
+                   c_m=mom_sql.momentum_monthly_sql()),
+)
+def _j05(spark, d):
+    return ds.duplicate_keys(mom.momentum_monthly(mom.momentum_daily(_bars(spark, d))), ["ticker", "date"])
+
+
+@register("J08_join_fundamentals", _join_sql(feat_sql.fundamentals_sql(END_DATE), "p.ticker = r.ticker", "ticker"))
+def _j08(spark, d):
+    return ds.left_join_many_to_one(_price_m(spark, d), _fund(spark, d), ["ticker"])
+
+
+@register(
+    "J09_fundamentals_of_priced_tickers",
+    fx.with_tables("SELECT * FROM c_f f WHERE f.ticker IN (SELECT ticker FROM c_b)",
+                   c_f=feat_sql.fundamentals_sql(END_DATE), c_b=fx.bars()),
+)
+def _j09(spark, d):
+    return _fund(spark, d).join(src.bars(spark, d).select("ticker"), "ticker", "left_semi")
+
+
+@register(
+    "W07_P07_target",
+    fx.with_tables(
+        "SELECT * FROM (SELECT *, lead(close, 3) OVER (PARTITION BY ticker ORDER BY date) AS target FROM c_p) "
+        "WHERE target IS NOT NULL",
+        c_p=price_sql.price_sql(),
+    ),
+)
+def _w07(spark, d):
+    return ds.with_target(_price_m(spark, d))
+
+
+_IMPUTE_SQL = fx.with_tables(
+    "SELECT ticker, " + ", ".join(
+        f"{fx.r6(c)} AS {c}" for c in ["trailing_peg", "esg_env", "dividend_yield", "days_to_next_earnings"]
+    ) + " FROM s4",
+    profile=fx.PROFILE,
+    s0="""SELECT ticker, sector, industry, country, trailing_peg, esg_env,
+  coalesce(dividend_yield, 0.0) AS dividend_yield, coalesce(days_to_next_earnings, 66.0) AS days_to_next_earnings
+FROM profile""",
+    m1="SELECT industry, median(trailing_peg) AS m FROM s0 WHERE industry IS NOT NULL GROUP BY industry",
+    s1="SELECT s0.* REPLACE (coalesce(s0.trailing_peg, m1.m) AS trailing_peg) FROM s0 LEFT JOIN m1 ON s0.industry = m1.industry",
+    m2="SELECT sector, median(esg_env) AS m FROM s1 WHERE sector IS NOT NULL GROUP BY sector",
+    s2="SELECT s1.* REPLACE (coalesce(s1.esg_env, m2.m) AS esg_env) FROM s1 LEFT JOIN m2 ON s1.sector = m2.sector",
+    m3="SELECT industry, median(esg_env) AS m FROM s2 WHERE industry IS NOT NULL GROUP BY industry",
+    s3="SELECT s2.* REPLACE (coalesce(s2.esg_env, m3.m) AS esg_env) FROM s2 LEFT JOIN m3 ON s2.industry = m3.industry",
+    m4="SELECT country, median(esg_env) AS m FROM s3 WHERE country IS NOT NULL GROUP BY country",
+    s4="SELECT s3.* REPLACE (coalesce(s3.esg_env, m4.m) AS esg_env) FROM s3 LEFT JOIN m4 ON s3.country = m4.country",
+)
+
+
+@register("F10_F11_G09_profile_imputation", _IMPUTE_SQL)
+def _f11(spark, d):
+    out = ds.impute(src.profile(spark, d), strict=True)
+    return _round_doubles(out.select("ticker", "trailing_peg", "esg_env", "dividend_yield", "days_to_next_earnings"))
+
+
+_PROFILE_COLS = ["ticker", "sector", "industry", "country", "trailing_peg", "esg_env", "dividend_yield",
+                 "days_to_next_earnings"]
+
+
+@register(
+    "G13_P13_null_counts",
+    fx.with_tables(
+        " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS null_count FROM profile"
+                           for c in _PROFILE_COLS),
+        profile=fx.PROFILE,
+    ),
+)
+def _g13(spark, d):
+    return ds.null_counts(src.profile(spark, d))
+
+
+@register("P17_rows_with_null", fx.with_tables("SELECT * FROM profile WHERE trailing_peg IS NULL", profile=fx.PROFILE))
+def _p17(spark, d):
+    return src.profile(spark, d).where(F.col("trailing_peg").isNull())
+
+
+@register(
+    "F09_cyclical_month",
+    fx.with_tables(
+        f"SELECT ticker, date, {fx.r6('sin(2 * pi() * month / 12)')} AS month_sin, "
+        f"{fx.r6('cos(2 * pi() * month / 12)')} AS month_cos FROM c_p",
+        c_p=price_sql.price_sql(),
+    ),
+)
+def _f09(spark, d):
+    df = ds.add_cyclical(_price_m(spark, d))
+    return df.select("ticker", "date", round6("month_sin").alias("month_sin"), round6("month_cos").alias("month_cos"))
+
+
+@register(
+    "P14_growth_label",
+    fx.with_tables(
+        "SELECT ticker, date, CASE WHEN target >= close * 1.10 THEN 1 ELSE 0 END AS is_positive_growth_3m_future "
+        "FROM (SELECT *, lead(close, 3) OVER (PARTITION BY ticker ORDER BY date) AS target FROM c_p) "
+        "WHERE target IS NOT NULL",
+        c_p=price_sql.price_sql(),
+    ),
+)
+def _p14(spark, d):
+    df = ds.with_target(_price_m(spark, d))
+    return df.select("ticker", "date", fn.growth_label("target", "close").alias(ds.LABEL))
+
+
+@register(
+    "F13_temporal_split",
+    fx.with_tables(
+        """SELECT ticker, date, CASE WHEN datediff('day', lo, date) <= d * 0.7 THEN 'train'
+  WHEN datediff('day', lo, date) <= d * 0.7 + d * 0.15 THEN 'validation' ELSE 'test' END AS split
+FROM c_p, (SELECT min(date) AS lo, datediff('day', min(date), max(date)) AS d FROM c_p) b""",
+        c_p=price_sql.price_sql(),
+    ),
+)
+def _f13(spark, d):
+    return ds.temporal_split(_price_m(spark, d)).select("ticker", "date", "split")
+
+
+@register(
+    "P08_drop_columns",
+    fx.with_tables("SELECT * EXCLUDE (date, year) FROM c_p", c_p=price_sql.price_sql()),
+)
+def _p08(spark, d):
+    return _price_m(spark, d).drop(*[c for c in ds.DROP_VARIABLES if c != "ticker"])
+
+
+# ---------------------------------------------------------------- G10-G23, T03, T04, U01, C11, C13
+
+from .plans import evaluate as ev  # noqa: E402
+from .plans import learn as ln  # noqa: E402
+from .plans import profile as pf  # noqa: E402
+
+_PRED = {"predictions": fx.PREDICTIONS}
+
+
+@register(
+    "G10_value_counts",
+    fx.with_tables(
+        "SELECT ticker, count(*) AS count, count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM c_p) AS share "
+        "FROM c_p GROUP BY ticker",
+        c_p=price_sql.price_sql(),
+    ),
+)
+def _g10(spark, d):
+    return pf.value_counts(_price_m(spark, d), "ticker")
+
+
+_N_PRICE_COLS = len(price.PRICE_COLUMNS)
+
+
+@register(
+    "C11_G11_G12_G19_profile",
+    fx.with_tables(
+        f"SELECT count(*) AS rows, {_N_PRICE_COLS} AS columns, count(DISTINCT ticker) AS tickers, "
+        "min(date) AS min_date, max(date) AS max_date, "
+        "CAST(0 AS BIGINT) AS nulls FROM c_p",
+        c_p=price_sql.price_sql(),
+    ),
+)
+def _c11(spark, d):
+    return pf.summary(_price_m(spark, d))
+
+
+@register(
+    "G15_pattern_zero_share",
+    fx.with_tables(
+        "SELECT (" + " + ".join(f"count_if({c} = 0)" for c in candles.PATTERN_COLUMNS) + ") / "
+        f"(count(*) * {len(candles.PATTERN_COLUMNS)}.0) AS zero_share FROM c_k",
+        c_k=pat_sql.patterns_daily_sql(),
+    ),
+)
+def _g15(spark, d):
+    return pf.zero_share(pat.patterns_daily(_bars(spark, d)), candles.PATTERN_COLUMNS)
+
+
+_CORR_COLS = [c for c in price.PRICE_COLUMNS if c not in ("date", "ticker")]
+
+
+def _labelled_price(spark, d):
+    df = ds.with_target(_price_m(spark, d))
+    return df.withColumn(ds.LABEL, fn.growth_label("target", "close"))
+
+
+_LABELLED_SQL = {
+    "c_p": price_sql.price_sql(),
+    "c_l": "SELECT *, CASE WHEN target >= close * 1.10 THEN 1 ELSE 0 END AS is_positive_growth_3m_future FROM "
+           "(SELECT *, lead(close, 3) OVER (PARTITION BY ticker ORDER BY date) AS target FROM c_p) "
+           "WHERE target IS NOT NULL",
+}
+_CORR_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {fx.r6(f'corr({c}, is_positive_growth_3m_future)')} AS corr FROM c_l"
+    for c in _CORR_COLS
+)
+
+
+@register("G16_label_correlations", fx.with_tables(_CORR_SQL, **_LABELLED_SQL))
+def _g16(spark, d):
+    c = pf.label_correlations(_labelled_price(spark, d), ds.LABEL, _CORR_COLS)
+    return c.withColumn("corr", round6(F.nanvl("corr", F.lit(None).cast("double"))))
+
+
+@register(
+    "T03_top_correlations",
+    fx.with_tables(
+        "SELECT * FROM (" + _CORR_SQL + ") ORDER BY corr DESC NULLS LAST, \"column\" LIMIT 25", **_LABELLED_SQL
+    ),
+)
+def _t03(spark, d):
+    c = pf.label_correlations(_labelled_price(spark, d), ds.LABEL, _CORR_COLS)
+    c = c.withColumn("corr", round6(F.nanvl("corr", F.lit(None).cast("double"))))
+    return pf.top_correlations(c, 25)
+
+
+_HIST_EDGES = (0.0, 3.0, 29)
+
+
+@register(
+    "G17_histogram_by_label",
+    fx.with_tables(
+        f"""SELECT is_positive_growth_3m_future, bin, count(*) AS count,
+  {fx.r6('0.0 + bin * (3.0 / 29)')} AS bin_lo, {fx.r6('0.0 + (bin + 1) * (3.0 / 29)')} AS bin_hi
+FROM (SELECT is_positive_growth_3m_future,
+        CAST(least(floor((mma_6_scaled - 0.0) / (3.0 / 29)), 28) AS INTEGER) AS bin
+      FROM c_l WHERE mma_6_scaled >= 0.0 AND mma_6_scaled <= 3.0)
+GROUP BY is_positive_growth_3m_future, bin""",
+        **_LABELLED_SQL,
+    ),
+)
+def _g17(spark, d):
+    h = pf.histogram(_labelled_price(spark, d), "mma_6_scaled", *_HIST_EDGES, by=ds.LABEL)
+    return h.withColumns({"bin_lo": round6("bin_lo"), "bin_hi": round6("bin_hi")})
+
+
+@register(
+    "G17_target_histogram_20",
+    fx.with_tables(
+        f"""SELECT bin, count(*) AS count, {fx.r6('lo + bin * ((hi - lo) / 20)')} AS bin_lo,
+  {fx.r6('lo + (bin + 1) * ((hi - lo) / 20)')} AS bin_hi
+FROM (SELECT CAST(least(floor((target - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin, lo, hi
+      FROM c_l, (SELECT min(target) AS lo, max(target) AS hi FROM c_l) b)
+GROUP BY bin, lo, hi""",
+        **_LABELLED_SQL,
+    ),
+)
+def _g17b(spark, d):
+    h = pf.histogram_auto(_labelled_price(spark, d), "target", 20)
+    return h.withColumns({"bin_lo": round6("bin_lo"), "bin_hi": round6("bin_hi")})
+
+
+@register(
+    "G18_five_numbers",
+    fx.with_tables(
+        "SELECT label, q[1] AS min, q[2] AS q1, q[3] AS median, q[4] AS q3, q[5] AS max FROM ("
+        "SELECT label, quantile_cont(probability, [0.0, 0.25, 0.5, 0.75, 1.0]) AS q FROM predictions GROUP BY label)",
+        **_PRED,
+    ),
+)
+def _g18(spark, d):
+    f5 = pf.five_numbers(src.predictions(spark, d), "probability", "label")
+    return f5.withColumns({c: round6(c) for c in ("min", "q1", "median", "q3", "max")})
+
+
+@register(
+    "G20_prediction_correctness",
+    fx.with_tables(
+        "SELECT CAST(label = prediction AS INTEGER) AS is_correct, count(*) AS count, "
+        "count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM predictions) AS share FROM predictions "
+        "GROUP BY label = prediction",
+        **_PRED,
+    ),
+)
+def _g20(spark, d):
+    return ev.correctness(src.predictions(spark, d))
+
+
+_CM_SQL = """SELECT g.label, g.prediction, coalesce(c.n, 0) AS count
+FROM (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(label, prediction)) g
+LEFT JOIN (SELECT label, prediction, count(*) AS n FROM predictions GROUP BY label, prediction) c
+  ON g.label = c.label AND g.prediction = c.prediction"""
+
+
+@register("G21_confusion_matrix", fx.with_tables(_CM_SQL, **_PRED))
+def _g21(spark, d):
+    return ev.confusion_matrix(src.predictions(spark, d))
+
+
+def _report_sql():
+    return fx.with_tables(
+        """SELECT class, precision, recall, f1_score, support FROM (
+  SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM m
+  UNION ALL SELECT '1', p1, r1, f1, s1 FROM m
+  UNION ALL SELECT 'accuracy', acc, acc, acc, n FROM m
+  UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM m
+  UNION ALL SELECT 'weighted avg', CASE WHEN n = 0 THEN 0.0 ELSE (p0 * s0 + p1 * s1) / n END,
+    CASE WHEN n = 0 THEN 0.0 ELSE (r0 * s0 + r1 * s1) / n END,
+    CASE WHEN n = 0 THEN 0.0 ELSE (f0 * s0 + f1 * s1) / n END, n FROM m)""",
+        **_PRED,
+        k="""SELECT CAST(count_if(label = 0 AND prediction = 0) AS DOUBLE) AS tn,
+  CAST(count_if(label = 0 AND prediction = 1) AS DOUBLE) AS fp,
+  CAST(count_if(label = 1 AND prediction = 0) AS DOUBLE) AS fn,
+  CAST(count_if(label = 1 AND prediction = 1) AS DOUBLE) AS tp FROM predictions""",
+        pr="""SELECT *, tn + fp + fn + tp AS n, tn + fp AS s0, fn + tp AS s1,
+  CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS p1,
+  CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS r1,
+  CASE WHEN tn + fn = 0 THEN 0.0 ELSE tn / (tn + fn) END AS p0,
+  CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END AS r0 FROM k""",
+        m="""SELECT *, CASE WHEN p1 + r1 = 0 THEN 0.0 ELSE 2 * p1 * r1 / (p1 + r1) END AS f1,
+  CASE WHEN p0 + r0 = 0 THEN 0.0 ELSE 2 * p0 * r0 / (p0 + r0) END AS f0,
+  CASE WHEN n = 0 THEN 0.0 ELSE (tn + tp) / n END AS acc FROM pr""",
+    )
+
+
+def _report(spark, d):
+    r = ev.classification_report(src.predictions(spark, d))
+    return r.withColumns({c: round6(c) for c in ("precision", "recall", "f1_score")})
+
+
+_REPORT_SQL = _report_sql().replace(
+    "SELECT class, precision, recall, f1_score, support FROM (",
+    f"SELECT class, {fx.r6('precision')} AS precision, {fx.r6('recall')} AS recall, "
+    f"{fx.r6('f1_score')} AS f1_score, support FROM (",
+)
+register("G22_classification_report", _REPORT_SQL)(_report)
+register("C13_evaluate", _REPORT_SQL)(_report)
+
+
+@register(
+    "G23_headline_metrics",
+    fx.with_tables(
+        "SELECT round(CASE WHEN n = 0 THEN 0.0 ELSE (tn + tp) / n END, 3) AS accuracy, "
+        "round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 3) AS precision_1 FROM ("
+        "SELECT CAST(count_if(label = 0 AND prediction = 0) AS DOUBLE) AS tn, "
+        "CAST(count_if(label = 0 AND prediction = 1) AS DOUBLE) AS fp, "
+        "CAST(count_if(label = 1 AND prediction = 1) AS DOUBLE) AS tp, CAST(count(*) AS DOUBLE) AS n "
+        "FROM predictions)",
+        **_PRED,
+    ),
+)
+def _g23(spark, d):
+    return ev.headline(src.predictions(spark, d))
+
+
+@register(
+    "T04_L08_best_model",
+    fx.with_tables(
+        """SELECT model, model_order, metric FROM m ORDER BY metric DESC, model_order LIMIT 1""",
+        labels_pred="SELECT quality AS label, toxic AS p_a, 1 - toxic AS p_b FROM labels",
+        m="""SELECT 'toxic_flag' AS model, 0 AS model_order,
+  round(CASE WHEN count_if(p_a = 1) = 0 THEN 0.0 ELSE count_if(p_a = 1 AND label = 1) / count_if(p_a = 1) END, 3) AS metric
+  FROM labels_pred
+UNION ALL SELECT 'inverted_flag', 1,
+  round(CASE WHEN count_if(p_b = 1) = 0 THEN 0.0 ELSE count_if(p_b = 1 AND label = 1) / count_if(p_b = 1) END, 3)
+  FROM labels_pred""",
+    ),
+)
+def _t04(spark, d):
+    lab = src.table(spark, d, "labels")
+    rows = []
+    for order, (name, pcol) in enumerate((("toxic_flag", F.col("toxic")), ("inverted_flag", 1 - F.col("toxic")))):
+        h = ev.headline(lab.select(F.col("quality").alias("label"), pcol.alias("prediction")))
+        rows.append(h.select(F.lit(name).alias("model"), F.lit(order).alias("model_order"),
+                             F.col("precision_1").alias("metric")))
+    return ev.best_model(pf.append_all(rows))
+
+
+@register(
+    "U01_append_by_name",
+    fx.with_tables("SELECT * FROM c_p UNION ALL BY NAME SELECT * FROM c_m",
+                   c_p=price_sql.price_sql(), c_m=mom_sql.momentum_monthly_sql()),
+)
+def _u01(spark, d):
+    bars = _bars(spark, d)
+    m = _round_doubles(mom.momentum_monthly(mom.momentum_daily(bars)))
+    return pf.append_all([price.price_features(bars), m])
+
+
+@register(
+    "P15_threshold_label",
+    fx.with_tables("SELECT id, CASE WHEN probability >= 0.475 THEN 1 ELSE 0 END AS prediction FROM predictions",
+                   **_PRED),
+)
+def _p15(spark, d):
+    return src.predictions(spark, d).select("id", fn.proba_label("probability").alias("prediction"))
+
+
+@register(
+    "P04_numeric_coercion",
+    fx.with_tables("SELECT symbol, TRY_CAST(market_cap AS DOUBLE) AS market_cap FROM listing", listing=fx.LISTING),
+)
+def _p04(spark, d):
+    return src.listing(spark, d).select("symbol", fn.to_number("market_cap").alias("market_cap"))
+
+
+@register(
+    "F07_previous_month_end",
+    "SELECT o_orderkey, last_day(CAST(o_orderdate AS DATE) - INTERVAL 1 MONTH) AS end_date FROM orders",
+)
+def _f07(spark, d):
+    o = src.table(spark, d, "orders")
+    return o.select("o_orderkey", fn.prev_month_end(F.to_date("o_orderdate")).alias("end_date"))
+
+
+_DAILY_COLS = ["ln_volume", "daily_growth", "weekly_growth", "biweekly_growth", "monthly_growth",
+               "rel_spread_oc", "rel_spread_hl", "vol_10d_mean", "vol_10d_std", "vol_10d_min", "vol_10d_max"]
+
+
+@register(
+    "W01_W02_F01_F02_daily_features",
+    fx.with_tables(
+        "SELECT ticker, date, " + ", ".join(f"{fx.r6(c)} AS {c}" for c in _DAILY_COLS) + " FROM daily",
+        **price_sql.daily_ctes(),
+    ),
+)
+def _w01(spark, d):
+    df = price.daily_features(_bars(spark, d))
+    return df.select("ticker", "date", *[round6(c).alias(c) for c in _DAILY_COLS])
+
+
+_RATIO_COLS = ["debt_to_equity", "current_ratio", "cash_ratio", "working_capital", "working_capital_ratio",
+               "retained_earnings_to_assets", "long_term_debt_to_equity", "operating_cf_margin", "free_cf_margin"]
+
+
+@register(
+    "F03_F04_statement_ratios",
+    fx.with_tables(
+        "SELECT ticker, " + ", ".join(f"{fx.r6(c)} AS {c}" for c in _RATIO_COLS) + " FROM ratios",
+        statements=fx.STATEMENTS,
+        latest=feat_sql.latest_items_sql(),
+        ratios=f"""SELECT ticker,
+  {fx.div('total_liabilities', 'total_equity')} AS debt_to_equity,
+  {fx.div('current_assets', 'current_liabilities')} AS current_ratio,
+  {fx.div('cash', 'current_liabilities')} AS cash_ratio, working_capital,
+  {fx.div('working_capital', 'total_assets')} AS working_capital_ratio,
+  {fx.div('retained_earnings', 'total_assets')} AS retained_earnings_to_assets,
+  {fx.div('long_term_debt', 'total_equity')} AS long_term_debt_to_equity,
+  CASE WHEN operating_cf <> 0 AND revenue <> 0 THEN operating_cf / revenue END AS operating_cf_margin,
+  CASE WHEN free_cf <> 0 AND revenue <> 0 THEN free_cf / revenue END AS free_cf_margin FROM latest""",
+    ),
+)
+def _f03(spark, d):
+    return _round_doubles(fu.statement_ratios(fu.latest_items(src.statements(spark, d), fu.FIXTURE_ITEMS)))
+
+
+# ---------------------------------------------------------------- L01, L02, L07, L03/L04/L09/L10, L06
+
+_VEC = {"vectors": fx.VECTORS}
+
+
+@register("L01_P10_P16_split_sets",
+          fx.with_tables("SELECT id, label, split FROM vectors WHERE split IN ('train', 'validation')", **_VEC))
+def _l01(spark, d):
+    train, _ = ln.split_sets(src.vectors(spark, d))
+    return train.select("id", "label", "split")
+
+
+@register(
+    "L02_standardize",
+    fx.with_tables(
+        "SELECT id, split, list_transform(features, lambda x, i: "
+        + fx.r6("(CAST(x AS DOUBLE) - means[i]) / stds[i]") + ") AS features FROM vectors, sl",
+        **_VEC,
+        tv="SELECT * FROM vectors WHERE split IN ('train', 'validation')",
+        e="SELECT unnest(generate_subscripts(features, 1)) AS pos, unnest(features) AS x FROM tv",
+        st="SELECT pos, avg(CAST(x AS DOUBLE)) AS mean, stddev_pop(CAST(x AS DOUBLE)) AS std FROM e GROUP BY pos",
+        sl="SELECT list(mean ORDER BY pos) AS means, "
+           "list(CASE WHEN std > 1e-15 THEN std ELSE 1.0 END ORDER BY pos) AS stds FROM st",
+    ),
+)
+def _l02(spark, d):
+    v = src.vectors(spark, d)
+    train, _ = ln.split_sets(v)
+    out = ln.standardize(v, ln.scaling_stats(train))
+    return out.select("id", "split", F.transform("features", lambda x: round6(x)).alias("features"))
+
+
+@register(
+    "L07_expanding_folds",
+    fx.with_tables(
+        "SELECT id, row_idx, CASE WHEN row_idx >= first THEN CAST(floor((row_idx - first) / ts) AS INTEGER) END "
+        "AS test_fold FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS row_idx FROM tv), "
+        "(SELECT count(*) - 3 * (count(*) // 4) AS first, count(*) // 4 AS ts FROM tv)",
+        **_VEC,
+        tv="SELECT * FROM vectors WHERE split IN ('train', 'validation')",
+    ),
+)
+def _l07(spark, d):
+    train, _ = ln.split_sets(src.vectors(spark, d))
+    return ln.fold_ids(train.select("id"), 3).select("id", "row_idx", "test_fold")
+
+
+def _scaled_sets(spark, d):
+    v = src.vectors(spark, d)
+    train, test = ln.split_sets(v)
+    stats = ln.scaling_stats(train)
+    return ln.as_vectors(ln.standardize(train, stats)), ln.as_vectors(ln.standardize(test, stats))
+
+
+@register("L03_decision_tree")
+def _l03(spark, d):
+    train, test = _scaled_sets(spark, d)
+    return ln.predict(ln.decision_tree().fit(train), test)
+
+
+@register("L04_L09_random_forest")
+def _l04(spark, d):
+    train, test = _scaled_sets(spark, d)
+    return ln.predict(ln.random_forest().fit(train), test)
+
+
+@register("L10_default_models_report")
+def _l10(spark, d):
+    train, test = _scaled_sets(spark, d)
+    return ln.default_models_report(train, test)
+
+
+@register("L06_C10_tune_and_select")
+def _l06(spark, d):
+    train, test = _scaled_sets(spark, d)
+    return ln.tune_and_select(train, test)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .plans import price
+from .session import tune
 from .sources import tables as src
 from .sql import fixtures as fx
 from .sql import price as price_sql
@@ -24,7 +25,12 @@ _ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
-        _QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(tune(spark), sf_dir)
+
+        run.__name__ = name
+        run.__doc__ = fn.__doc__
+        _QUERIES[name] = run
         if sql is not None:
             _ORACLE[name] = sql
         return fn
@@ -43,7 +49,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return price.price_features(src.bars(spark, sf_dir))
+    return price.price_features(src.bars(tune(spark), sf_dir))
 
 
 _LOADED = False

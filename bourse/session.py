@@ -24,10 +24,24 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Session settings the feature plans rely on.  Constraint propagation infers
+# predicates over every alias of every projection; on 100+ column plans with
+# chained windows it grows combinatorially and dominates planning time.
+PLAN_CONF = {
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply ``PLAN_CONF`` (runtime SQL settings) to a caller's session."""
+    for k, v in PLAN_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "bourse") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in (DEFAULT_CONF | PLAN_CONF).items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("BOURSE_DRIVER_MEMORY", "16g"))
