@@ -779,7 +779,7 @@ def _l01(spark, d):
         + fx.r6("(CAST(x AS DOUBLE) - means[i]) / stds[i]") + ") AS features FROM vectors, sl",
         **_VEC,
         tv="SELECT * FROM vectors WHERE split IN ('train', 'validation')",
-        e="SELECT unnest(generate_subscripts(features, 1)) AS pos, unnest(features) AS x FROM tv",
+        e="SELECT unnest(range(1, len(features) + 1)) AS pos, unnest(features) AS x FROM tv",
         st="SELECT pos, avg(CAST(x AS DOUBLE)) AS mean, stddev_pop(CAST(x AS DOUBLE)) AS std FROM e GROUP BY pos",
         sl="SELECT list(mean ORDER BY pos) AS means, "
            "list(CASE WHEN std > 1e-15 THEN std ELSE 1.0 END ORDER BY pos) AS stds FROM st",
@@ -836,3 +836,53 @@ def _l10(spark, d):
 def _l06(spark, d):
     train, test = _scaled_sets(spark, d)
     return ln.tune_and_select(train, test)
+
+
+# ---------------------------------------------------------------- S01, S12-S15
+
+from .sources import io as sio  # noqa: E402
+
+
+@register(
+    "S01_bar_scan_range",
+    fx.with_tables(
+        "SELECT * FROM bars WHERE date >= DATE '1996-01-01' AND date < DATE '2000-01-01' "
+        "AND ticker IN (SELECT DISTINCT p_type FROM part)",
+        bars=fx.bars(),
+    ),
+)
+def _s01(spark, d):
+    universe = src.table(spark, d, "part").select(F.col("p_type").alias("ticker")).distinct()
+    return sio.scan_bars(src.bars(spark, d), universe, "1996-01-01", "2000-01-01")
+
+
+@register("S12_S13_csv_roundtrip", price_sql.price_sql())
+def _s12(spark, d):
+    df = _price_m(spark, d)
+    schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+    path = sio.write_table(df, sio.scratch_path(spark, "price-csv"), "csv")
+    return sio.read_csv(spark, path, schema)
+
+
+@register("S13_parquet_roundtrip", price_sql.price_sql())
+def _s13(spark, d):
+    path = sio.write_table(_price_m(spark, d), sio.scratch_path(spark, "price-parquet"), "parquet", ["year"])
+    return spark.read.parquet(path).select(*price.PRICE_COLUMNS)
+
+
+@register("S14_report_sink")
+def _s14(spark, d):
+    path = sio.write_report(_report(spark, d), "FixturePredictions", {"source": "labels"},
+                            sio.scratch_path(spark, "report"))
+    doc = spark.read.json(path)
+    return doc.select("model_name", F.explode("classification_report").alias("r")).select("model_name", "r.*")
+
+
+@register("S15_model_sink_and_load")
+def _s15(spark, d):
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    train, test = _scaled_sets(spark, d)
+    model = ln.random_forest(n_trees=20).fit(train)
+    path = sio.save_model(model, sio.scratch_path(spark, "models"), "RandomForest")
+    return ln.predict(RandomForestClassificationModel.load(path), test)
