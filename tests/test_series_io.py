@@ -44,7 +44,7 @@ def test_parquet_scan_pushes_filters(spark, tmp_path):
     rows = [("X", dt.date(2020, 1, d), 1.0, 1.0, 1.0, 1.0, 1.0) for d in (1, 2, 3)]
     path = str(tmp_path / "bars")
     spark.createDataFrame(rows, sio.BARS_SCHEMA).write.parquet(path)
-    df = sio.read_bars_parquet(spark, path, ["X"], "2020-01-02", "2020-01-04").select("ticker", "close")
+    df = sio.read_bars_parquet(spark, path, ["X", "Y"], "2020-01-02", "2020-01-04").select("ticker", "close")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(date" in plan and "In(ticker" in plan
     assert "ReadSchema: struct<ticker:string,date:date,close:double>" in plan
