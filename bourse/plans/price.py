@@ -46,8 +46,15 @@ PRICE_COLUMNS = (
 
 def by_ticker(bars: DataFrame, key: str = "ticker") -> DataFrame:
     """Exchange bars by ticker once; every later window / month aggregation
-    reuses this partitioning."""
-    return bars.repartition(key)
+    reuses this partitioning.
+
+    The partition count is the session's ``spark.sql.shuffle.partitions``
+    (sized by the cluster for the data), given explicitly so that AQE does
+    not coalesce by bytes: the bar table is narrow but the window stages on
+    it are compute-heavy, so parallelism matters more than partition size.
+    """
+    n = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bars.repartition(n, key)
 
 
 def choose_close(df: DataFrame) -> DataFrame:

@@ -223,12 +223,15 @@ def _p05(spark, d):
 
 # ---------------------------------------------------------------- C07-C09, J, W07, F10-F13
 
+from .operators.persist import materialize  # noqa: E402
 from .plans import dataset as ds  # noqa: E402
 from .sql import price as price_sql  # noqa: E402
 
 
 def _monthly_parts(spark, d, ticker="type"):
-    bars = _bars(spark, d, ticker)
+    # the bars feed three window plans: materialise them once (the
+    # checkpoint keeps the ticker partitioning, so no exchange is added)
+    bars = materialize(_bars(spark, d, ticker))
     price_m = price.price_features(bars)
     mom_m = _round_doubles(mom.momentum_monthly(mom.momentum_daily(bars)))
     pat_m = pat.patterns_monthly(pat.patterns_daily(bars))
