@@ -123,10 +123,16 @@ def rating_stats(recs: DataFrame) -> DataFrame:
 
 
 def earnings_days(calendar: DataFrame, end_date: str) -> DataFrame:
-    """days from the end date to the first listed earnings date."""
-    return calendar.select(
-        "ticker", days_to_first("earnings_dates", F.to_date(F.lit(end_date))).alias("days_to_next_earnings")
-    )
+    """days from the end date to the first listed earnings date.
+
+    Long calendar ``(ticker, earnings_date)``: the first date is a ``min``
+    (partial aggregate).  An array column ``earnings_dates`` (the reference's
+    shape) is read at element 0 instead."""
+    end = F.to_date(F.lit(end_date))
+    if "earnings_dates" in calendar.columns:
+        return calendar.select("ticker", days_to_first("earnings_dates", end).alias("days_to_next_earnings"))
+    first = calendar.groupBy("ticker").agg(F.min("earnings_date").alias("_first"))
+    return first.select("ticker", F.datediff("_first", end).cast("double").alias("days_to_next_earnings"))
 
 
 def yearly_dividends(dividends: DataFrame) -> DataFrame:

@@ -184,8 +184,8 @@ def _g08(spark, d):
 @register(
     "F08_days_to_earnings",
     fx.with_tables(
-        f"SELECT ticker, CAST(datediff('day', DATE '{END_DATE}', earnings_dates[1]) AS DOUBLE) "
-        "AS days_to_next_earnings FROM calendar",
+        f"SELECT ticker, CAST(datediff('day', DATE '{END_DATE}', min(earnings_date)) AS DOUBLE) "
+        "AS days_to_next_earnings FROM calendar GROUP BY ticker",
         calendar=fx.CALENDAR,
     ),
 )
@@ -889,3 +889,32 @@ def _s15(spark, d):
     model = ln.random_forest(n_trees=20).fit(train)
     path = sio.save_model(model, sio.scratch_path(spark, "models"), "RandomForest")
     return ln.predict(RandomForestClassificationModel.load(path), test)
+
+
+# ---------------------------------------------------------------- step-level aliases
+
+_MONTHLY_COLS = ["return_1m", "return_2m", "return_3m", "vol_3m", "momentum_3m", "mma_3_scaled", "mma_6_scaled"]
+
+
+@register(
+    "W03_W06_W09_W12_monthly_windows",
+    fx.with_tables("SELECT ticker, date, " + ", ".join(_MONTHLY_COLS) + " FROM c_p", c_p=price_sql.price_sql()),
+)
+def _w03(spark, d):
+    return _price_m(spark, d).select("ticker", "date", *_MONTHLY_COLS)
+
+
+@register(
+    "G04_month_end_last_non_null",
+    fx.with_tables(feat_sql._pivot(se.FIXTURE_MARKET, "market"), market=fx.MARKET),
+)
+def _g04(spark, d):
+    return se.month_end_last(src.market(spark, d), se.FIXTURE_MARKET)
+
+
+register("J07_W08_macro_alignment", feat_sql.macro_sql())(_c05)
+
+
+@register("F12_one_hot")
+def _f12(spark, d):
+    return ds.one_hot(_price_m(spark, d).select("ticker", "date", "close"), ["ticker"])

@@ -70,16 +70,16 @@ def _source(name: str, fn, sql: str):
     register(name, sql)(lambda spark, d: fn(spark, d))
 
 
-_source("src_bars", src.bars, fx.bars("type"))
-_source("src_listing", src.listing, fx.LISTING)
-_source("src_macro", src.macro, fx.MACRO)
-_source("src_market", src.market, fx.MARKET)
-_source("src_statements", src.statements, fx.STATEMENTS)
-_source("src_profile", src.profile, fx.PROFILE)
-_source("src_holders", src.holders, fx.HOLDERS)
-_source("src_recommendations", src.recommendations, fx.RECOMMENDATIONS)
-_source("src_dividends", src.dividends, fx.DIVIDENDS)
-_source("src_calendar", src.calendar, fx.CALENDAR)
+_source("S01_src_bars", src.bars, fx.bars("type"))
+_source("S02_src_listing", src.listing, fx.LISTING)
+_source("S10_src_macro", src.macro, fx.MACRO)
+_source("S11_src_market", src.market, fx.MARKET)
+_source("S03_src_statements", src.statements, fx.STATEMENTS)
+_source("S04_src_profile", src.profile, fx.PROFILE)
+_source("S05_src_holders", src.holders, fx.HOLDERS)
+_source("S06_src_recommendations", src.recommendations, fx.RECOMMENDATIONS)
+_source("S07_src_dividends", src.dividends, fx.DIVIDENDS)
+_source("S08_src_calendar", src.calendar, fx.CALENDAR)
 _source("src_predictions", src.predictions, fx.PREDICTIONS)
 _source("src_vectors", src.vectors, fx.VECTORS)
 

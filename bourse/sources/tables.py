@@ -19,7 +19,7 @@ Schemas (all dates are DATE, all measures DOUBLE, NaN never enters):
 * holders(ticker, holder, pct_held)
 * recommendations(ticker, period, strong_buy, buy, hold, sell, strong_sell)
 * dividends(ticker, date, amount)
-* calendar(ticker, earnings_dates array<date>)
+* calendar(ticker, earnings_date) -- long form of the reference's date list
 * predictions(id, label, prediction, probability)
 * vectors(id, features array<float>, label, split)
 """
@@ -220,9 +220,14 @@ def dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Earnings calendar in long form: one row per (ticker, earnings date).
+
+    The reference holds a list of dates per ticker and reads element 0; the
+    long form keeps a hot ticker from becoming one huge array row, and
+    "element 0 of the sorted list" becomes ``min`` (a partial aggregate)."""
     o = table(spark, sf_dir, "orders")
-    return o.groupBy(F.col("o_custkey").cast("string").alias("ticker")).agg(
-        F.array_sort(F.collect_list(F.to_date("o_orderdate"))).alias("earnings_dates")
+    return o.select(
+        F.col("o_custkey").cast("string").alias("ticker"), F.to_date("o_orderdate").alias("earnings_date")
     )
 
 

@@ -94,7 +94,7 @@ FROM latest"""
         "SELECT * FROM ratios",
         "SELECT ticker, avg(pct_held) AS pct_held_by_inst, count(*) AS institutional_holders_count FROM holders GROUP BY ticker",
         "SELECT ticker, t AS recent_rating_changes, CASE WHEN t <> 0 THEN CAST(sb AS DOUBLE) / t END AS strong_to_total_reco_ratio FROM ratings",
-        f"SELECT ticker, CAST(datediff('day', DATE '{end_date}', earnings_dates[1]) AS DOUBLE) AS days_to_next_earnings FROM calendar",
+        f"SELECT ticker, CAST(datediff('day', DATE '{end_date}', min(earnings_date)) AS DOUBLE) AS days_to_next_earnings FROM calendar GROUP BY ticker",
         "SELECT * FROM stab",
         "SELECT ticker, sector, industry, country, trailing_peg, esg_env, dividend_yield FROM profile",
     ]

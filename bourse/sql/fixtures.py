@@ -79,9 +79,8 @@ SELECT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderdate AS DATE) AS date,
 FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"""
 
 CALENDAR = """
-SELECT CAST(o_custkey AS VARCHAR) AS ticker,
-       array_sort(array_agg(CAST(o_orderdate AS DATE))) AS earnings_dates
-FROM orders GROUP BY CAST(o_custkey AS VARCHAR)"""
+SELECT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderdate AS DATE) AS earnings_date
+FROM orders"""
 
 PREDICTIONS = """
 SELECT doc_id AS id, quality AS label, toxic AS prediction,

@@ -19,7 +19,7 @@ def test_registry_shapes():
     assert all(isinstance(s, str) and s.strip() for s in o.values())
 
 
-@pytest.mark.parametrize("name", ["src_bars", "src_listing", "src_holders", "G21_confusion_matrix",
+@pytest.mark.parametrize("name", ["S01_src_bars", "S02_src_listing", "S05_src_holders", "G21_confusion_matrix",
                                   "G22_classification_report", "F10_F11_G09_profile_imputation"])
 def test_oracle_matches(spark, duck_mid, name):
     from tests.oracle_check import compare
