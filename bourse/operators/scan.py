@@ -75,11 +75,26 @@ def wilder_sum(x: str, out: str, period: int, seed_row: int) -> Scan:
     return Scan(x, out, (period - 1) / period, 1.0, seed_row, period - 1, "sum")
 
 
+def chunk_of(rn: str = "rn"):
+    return F.floor(F.col(rn) / CHUNK)
+
+
+def scan_window(key: str = "ticker", rn: str = "rn"):
+    """The per-key window the scans use, ordered by (chunk, rn).  Ordering
+    by the chunk first is the same row order as by ``rn`` alone, but it is
+    also the sort order the per-chunk window needs, so every window of a
+    multi-stage plan can share ONE sort: callers that order their own
+    windows this way (``_chunk`` column from ``chunk_of``) add no sort."""
+    return Window.partitionBy(key).orderBy("_chunk", rn)
+
+
 def affine_scans(df: DataFrame, scans: list[Scan], key: str = "ticker", rn: str = "rn") -> DataFrame:
     """Add one column per scan.  ``rn`` is the 0-based row number per key."""
-    w = Window.partitionBy(key).orderBy(rn)
     r = F.col(rn)
-    chunk, i = F.floor(r / CHUNK), r % CHUNK
+    if "_chunk" not in df.columns:
+        df = df.withColumn("_chunk", chunk_of(rn))
+    w = scan_window(key, rn)
+    i = r % CHUNK
     df = df.withColumns(
         {
             f"_v_{s.out}": F.when(
@@ -89,7 +104,7 @@ def affine_scans(df: DataFrame, scans: list[Scan], key: str = "ticker", rn: str
             for s in scans
         }
     )
-    df = df.withColumns({"_chunk": chunk, "_i": i})
+    df = df.withColumn("_i", i)
     wc = Window.partitionBy(key, "_chunk").orderBy(rn).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns(
         {
@@ -110,4 +125,4 @@ def affine_scans(df: DataFrame, scans: list[Scan], key: str = "ticker", rn: str
             for s in scans
         }
     )
-    return df.drop("_chunk", "_i", *[f"_v_{s.out}" for s in scans], *[f"_l_{s.out}" for s in scans])
+    return df.drop("_i", *[f"_v_{s.out}" for s in scans], *[f"_l_{s.out}" for s in scans])

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.rolling import series_window, trailing
-from ..operators.scan import affine_scans, ema, wilder_mean, wilder_sum
+from ..operators.scan import affine_scans, chunk_of, ema, scan_window, wilder_mean, wilder_sum
 
 MOMENTUM_COLUMNS = [
     "adx", "adxr", "apo", "aroon_1", "aroon_2", "aroonosc", "bop", "cci", "cmo", "dx",
@@ -69,6 +69,7 @@ def base_columns(bars: DataFrame) -> DataFrame:
     up, down, chg, c1 = F.col("_up"), F.col("_down"), F.col("_chg"), F.col("_c1")
     return df.withColumns(
         {
+            "_chunk": chunk_of("rn"),
             "_tr": F.greatest(h - l, F.abs(h - c1), F.abs(l - c1)),
             "_pdm": F.when((up > 0) & (up > down), up).when(up.isNotNull(), F.lit(0.0)),
             "_mdm": F.when((down > 0) & (up < down), down).when(down.isNotNull(), F.lit(0.0)),
@@ -86,7 +87,7 @@ def _from(rn_min: int, expr):
 
 def window_indicators(df: DataFrame) -> DataFrame:
     """Indicators that need only framed windows and lags (21 of 38)."""
-    w = series_window()
+    w = scan_window()
     c, h, l, o = (F.col(x) for x in ("close", "high", "low", "open"))
 
     def avg(x, n):
@@ -185,7 +186,7 @@ def window_indicators(df: DataFrame) -> DataFrame:
 
 def scan_indicators(df: DataFrame) -> DataFrame:
     """Indicators built on affine scans (17 of 38)."""
-    w = series_window()
+    w = scan_window()
     k12, k26 = 2.0 / 13, 2.0 / 27
     df = affine_scans(
         df,
