@@ -68,3 +68,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def sizing(input_bytes: int, bar_rows: int, executor_cores: int, executors: int,
+           target_partition_bytes: int = 128 << 20, bar_row_bytes: int = 1200) -> dict[str, str]:
+    """Suggested settings for a cluster run (returned, never applied here).
+
+    * scan splits: ``spark.sql.files.maxPartitionBytes`` = 128 MB;
+    * the trades -> bars aggregation is partial (map-side), so its shuffle
+      carries at most one row per (ticker, day) per map task; AQE coalesces
+      it by bytes;
+    * the window stages work on bar rows widened to ~150 columns
+      (``bar_row_bytes``); ``spark.sql.shuffle.partitions`` is chosen so one
+      partition of widened bars stays near ``target_partition_bytes`` and
+      there are at least 3 tasks per core.
+    """
+    cores = max(1, executor_cores * executors)
+    widened = bar_rows * bar_row_bytes
+    shuffle = max(3 * cores, -(-widened // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "_input_splits": str(-(-input_bytes // target_partition_bytes)),
+    }
