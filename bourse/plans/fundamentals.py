@@ -95,6 +95,18 @@ def statement_ratios(latest: DataFrame) -> DataFrame:
     )
 
 
+# The ESG items the reference reads, by output column.
+ESG_ITEMS = {"esg_env": "environmentScore", "esg_soc": "socialScore", "esg_gov": "governanceScore"}
+
+
+def esg_scores(esg: DataFrame, items: dict[str, str] = ESG_ITEMS) -> DataFrame:
+    """S09 + W11: one row per ticker with each item's value (null kept);
+    one conditional aggregate per item in a single pass."""
+    return esg.groupBy("ticker").agg(
+        *[F.max(F.when(F.col("item") == item, F.col("value"))).alias(name) for name, item in items.items()]
+    )
+
+
 def holder_stats(holders: DataFrame) -> DataFrame:
     """Mean share held and number of holders."""
     return holders.groupBy("ticker").agg(

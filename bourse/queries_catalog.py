@@ -918,3 +918,55 @@ register("J07_W08_macro_alignment", feat_sql.macro_sql())(_c05)
 @register("F12_one_hot")
 def _f12(spark, d):
     return ds.one_hot(_price_m(spark, d).select("ticker", "date", "close"), ["ticker"])
+
+
+@register(
+    "S09_W11_esg_scores",
+    fx.with_tables(
+        "SELECT ticker, " + ", ".join(
+            f"{fx.r6(f'max(CASE WHEN item = {item!r} THEN value END)')} AS {name}"
+            for name, item in fu.ESG_ITEMS.items()
+        ) + " FROM esg GROUP BY ticker",
+        esg=fx.ESG,
+    ),
+)
+def _s09(spark, d):
+    return _round_doubles(fu.esg_scores(src.esg(spark, d)))
+
+
+def _chained_fill_sql(base_sql: str, steps: list[tuple[str, str]], out_cols: list[str]) -> str:
+    """DuckDB twin of the F11 chain: each step fills ``col`` with the median
+    of its ``group`` computed on the previous step's output."""
+    ctes = {"s0": base_sql}
+    for i, (col, group) in enumerate(steps, start=1):
+        prev = f"s{i - 1}"
+        ctes[f"m{i}"] = f"SELECT {group}, median({col}) AS m FROM {prev} WHERE {group} IS NOT NULL GROUP BY {group}"
+        ctes[f"s{i}"] = (f"SELECT {prev}.* REPLACE (coalesce({prev}.{col}, m{i}.m) AS {col}) "
+                         f"FROM {prev} LEFT JOIN m{i} ON {prev}.{group} = m{i}.{group}")
+    last = f"s{len(steps)}"
+    return fx.with_tables(
+        "SELECT ticker, " + ", ".join(f"{fx.r6(c)} AS {c}" for c in out_cols) + f" FROM {last}",
+        **({"profile": fx.PROFILE, "esg": fx.ESG} | ctes),
+    )
+
+
+_ESG_STEPS = [(c, g) for c in ("esg_env", "esg_soc", "esg_gov") for g in ("sector", "industry", "country")]
+_ESG_BASE = """SELECT p.ticker, p.sector, p.industry, p.country, p.trailing_peg,
+  coalesce(p.dividend_yield, 0.0) AS dividend_yield, coalesce(p.days_to_next_earnings, 66.0) AS days_to_next_earnings,
+  e.esg_env, e.esg_soc, e.esg_gov
+FROM profile p LEFT JOIN (SELECT ticker,
+  max(CASE WHEN item = 'environmentScore' THEN value END) AS esg_env,
+  max(CASE WHEN item = 'socialScore' THEN value END) AS esg_soc,
+  max(CASE WHEN item = 'governanceScore' THEN value END) AS esg_gov FROM esg GROUP BY ticker) e
+ON p.ticker = e.ticker"""
+_IMPUTE_COLS = ["trailing_peg", "esg_env", "esg_soc", "esg_gov", "dividend_yield", "days_to_next_earnings"]
+
+
+@register(
+    "C08_F11_esg_chain_imputation",
+    _chained_fill_sql(_ESG_BASE, [("trailing_peg", "industry")] + _ESG_STEPS, _IMPUTE_COLS),
+)
+def _c08_esg(spark, d):
+    prof = src.profile(spark, d).drop("esg_env")
+    both = prof.join(fu.esg_scores(src.esg(spark, d)), "ticker", "left")
+    return _round_doubles(ds.impute(both, strict=True).select("ticker", *_IMPUTE_COLS))

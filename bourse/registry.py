@@ -77,6 +77,7 @@ _source("S11_src_market", src.market, fx.MARKET)
 _source("S03_src_statements", src.statements, fx.STATEMENTS)
 _source("S04_src_profile", src.profile, fx.PROFILE)
 _source("S05_src_holders", src.holders, fx.HOLDERS)
+_source("S09_src_esg", src.esg, fx.ESG)
 _source("S06_src_recommendations", src.recommendations, fx.RECOMMENDATIONS)
 _source("S07_src_dividends", src.dividends, fx.DIVIDENDS)
 _source("S08_src_calendar", src.calendar, fx.CALENDAR)

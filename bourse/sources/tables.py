@@ -16,6 +16,7 @@ Schemas (all dates are DATE, all measures DOUBLE, NaN never enters):
 * statements(ticker, item, asof, value)
 * profile(ticker, sector, industry, country, trailing_peg, esg_env,
   dividend_yield, days_to_next_earnings)
+* esg(ticker, item, value)
 * holders(ticker, holder, pct_held)
 * recommendations(ticker, period, strong_buy, buy, hold, sell, strong_sell)
 * dividends(ticker, date, amount)
@@ -176,6 +177,24 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ESG_ITEMS = [("environmentScore", 1, 500.0), ("socialScore", 2, 700.0), ("governanceScore", 3, 900.0)]
+
+
+def esg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ESG scores in long form (ticker, item, value); about one score in four
+    is missing.  One row per customer exploded into three -- no join."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    rows = F.array(*[
+        F.struct(
+            F.lit(item).alias("item"),
+            F.when((k + shift) % 4 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal") / div).alias("value"),
+        )
+        for item, shift, div in ESG_ITEMS
+    ])
+    return c.select(k.cast("string").alias("ticker"), F.explode(rows).alias("r")).select("ticker", "r.item", "r.value")
+
+
 def holders(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")

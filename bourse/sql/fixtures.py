@@ -57,6 +57,12 @@ SELECT CAST(c_custkey AS VARCHAR) AS ticker, r_name AS sector, c_mktsegment AS i
        CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(c_custkey % 66 AS DOUBLE) END AS days_to_next_earnings
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
+ESG = """
+SELECT CAST(c_custkey AS VARCHAR) AS ticker, i.item,
+       CASE WHEN (c_custkey + i.k) % 4 = 0 THEN NULL ELSE c_acctbal / i.d END AS value
+FROM customer, (VALUES ('environmentScore', 1, 500.0::DOUBLE), ('socialScore', 2, 700.0::DOUBLE),
+                       ('governanceScore', 3, 900.0::DOUBLE)) i(item, k, d)"""
+
 HOLDERS = """
 SELECT n_name AS ticker, s_name AS holder, s_acctbal / 100000 AS pct_held
 FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
