@@ -39,12 +39,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _local_memory() -> str:
+    """Driver heap for local runs: 60% of the machine's memory, at most 16g."""
+    try:
+        with open("/proc/meminfo") as f:
+            kb = next(int(line.split()[1]) for line in f if line.startswith("MemTotal"))
+        return f"{max(1, min(16, int(kb * 0.6 / (1 << 20))))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "bourse") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in (DEFAULT_CONF | PLAN_CONF).items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("BOURSE_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("BOURSE_DRIVER_MEMORY", _local_memory()))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
