@@ -95,3 +95,12 @@ def test_flagship_runs_and_plan_has_one_exchange_for_windows(spark):
 
     assert len(re.findall(r"Exchange hashpartitioning\(ticker#\d+, \d+\)", plan)) == 1
     _ = F
+
+
+def test_adjusted_close_preferred(spark):
+    rows = [("A", dt.date(2020, 1, 1), 1.0, 2.0, 0.5, 1.5, 10.0, 1.4)]
+    df = spark.createDataFrame(rows, SCHEMA + ", adj_close double")
+    out = price.choose_close(df).first()
+    assert out["close"] == 1.4 and "adj_close" not in price.choose_close(df).columns
+    plain = spark.createDataFrame([r[:-1] for r in rows], SCHEMA)
+    assert price.choose_close(plain).first()["close"] == 1.5
