@@ -130,6 +130,7 @@ def monthly_features(monthly: DataFrame, rounded: bool = True, drop_incomplete:
     return df.dropna("any") if drop_incomplete else df
 
 
-def price_features(bars: DataFrame) -> DataFrame:
-    """Daily bars -> one row per ticker and month-end."""
-    return monthly_features(month_end_resample(daily_features(by_ticker(bars))))
+def price_features(bars: DataFrame, partitioned: bool = False) -> DataFrame:
+    """Daily bars -> one row per ticker and month-end.  Pass
+    ``partitioned=True`` for bars already exchanged by ``by_ticker``."""
+    return monthly_features(month_end_resample(daily_features(bars if partitioned else by_ticker(bars))))

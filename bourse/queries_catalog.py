@@ -232,7 +232,7 @@ def _monthly_parts(spark, d, ticker="type"):
     # the bars feed three window plans: materialise them once (the
     # checkpoint keeps the ticker partitioning, so no exchange is added)
     bars = materialize(_bars(spark, d, ticker))
-    price_m = price.price_features(bars)
+    price_m = price.price_features(bars, partitioned=True)
     mom_m = _round_doubles(mom.momentum_monthly(mom.momentum_daily(bars)))
     pat_m = pat.patterns_monthly(pat.patterns_daily(bars))
     macro = se.macro_features(src.macro(spark, d), se.FIXTURE_MACRO)
@@ -279,7 +279,7 @@ def _c09(spark, d):
 
 
 def _price_m(spark, d):
-    return price.price_features(_bars(spark, d))
+    return price.price_features(_bars(spark, d), partitioned=True)
 
 
 def _join_sql(right_sql: str, on: str, exclude: str) -> str:
@@ -294,7 +294,7 @@ def _join_sql(right_sql: str, on: str, exclude: str) -> str:
 def _j01(spark, d):
     bars = _bars(spark, d)
     right = _round_doubles(mom.momentum_monthly(mom.momentum_daily(bars)))
-    return ds.left_join_many_to_one(price.price_features(bars), right, ["ticker", "date"])
+    return ds.left_join_many_to_one(price.price_features(bars, partitioned=True), right, ["ticker", "date"])
 
 
 @register("J02_join_monthly_patterns",
@@ -302,7 +302,7 @@ def _j01(spark, d):
 def _j02(spark, d):
     bars = _bars(spark, d)
     right = pat.patterns_monthly(pat.patterns_daily(bars))
-    return ds.left_join_many_to_one(price.price_features(bars), right, ["ticker", "date"])
+    return ds.left_join_many_to_one(price.price_features(bars, partitioned=True), right, ["ticker", "date"])
 
 
 @register("J03_join_macro", _join_sql(feat_sql.macro_sql(), "p.date = r.date", "date"))
@@ -693,7 +693,7 @@ def _t04(spark, d):
 def _u01(spark, d):
     bars = _bars(spark, d)
     m = _round_doubles(mom.momentum_monthly(mom.momentum_daily(bars)))
-    return pf.append_all([price.price_features(bars), m])
+    return pf.append_all([price.price_features(bars, partitioned=True), m])
 
 
 @register(
