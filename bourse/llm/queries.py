@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, substring
+from . import line_dedup, minhash, mixing, packing, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.weigh(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"),
+                      F.col("__tokens").alias("tokens"), F.round("__weight", 6).alias("weight"), F.round("__p", 6).alias("probability"),
+                      F.col("__kept").alias("kept"))
+
+
+def op2_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op6_boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents"), count_as="n_removed").select("doc_id", "n_removed", "text")
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -24,7 +39,12 @@ def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removed_words(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES: list[Query] = [op7_near_duplicates, op8_repeated_passages]
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+_QUERIES: list[Query] = [op1_mixed_sources, op2_packed_sequences, op6_boilerplate_lines, op7_near_duplicates, op8_repeated_passages,
+                         op9_quality_rules]
 
 
 def queries() -> dict[str, Query]:
@@ -32,4 +52,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mixed_sources": mixing.oracle_sql(), "op6_boilerplate_lines": line_dedup.oracle_sql()}
