@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, minhash, mixing, packing, quality, substring
+from . import ann, html_extract, line_dedup, minhash, mixing, packing, quality, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,15 @@ def op2_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = ann.valid(_table(spark, sf_dir, "embeddings"))
+    return ann.search(vectors, vectors.where("id % 100 = 0"))
+
+
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op6_boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents"), count_as="n_removed").select("doc_id", "n_removed", "text")
 
@@ -43,8 +52,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-_QUERIES: list[Query] = [op1_mixed_sources, op2_packed_sequences, op6_boilerplate_lines, op7_near_duplicates, op8_repeated_passages,
-                         op9_quality_rules]
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(_table(spark, sf_dir, "pages"))
+
+
+_QUERIES: list[Query] = [op1_mixed_sources, op2_packed_sequences, op4_nearest_neighbours, op5_warc_round_trip, op6_boilerplate_lines,
+                         op7_near_duplicates, op8_repeated_passages, op9_quality_rules, op10_main_text]
 
 
 def queries() -> dict[str, Query]:
