@@ -13,10 +13,11 @@ has an empty set).  Two documents are linked if 100 * |A & B| >= 75 * |A | B|.
 * Documents with equal sets are one class before buckets are formed, so
   groups of copies never meet in a bucket.
 * In a bucket every member is compared with the hub (smallest random
-  priority) only.  A compared hub leaves the bucket; buckets whose rest still
-  belongs to several components go on with twice as many hubs, until each
-  bucket holds one component or one member.  No bucket is capped: pairs are
-  left out only when both ends are already connected.
+  priority) only, in buckets of at most ``SMALL`` members every member is a
+  hub.  A compared hub leaves the bucket; buckets whose rest still belongs to
+  several components go on with four times as many hubs, until each bucket
+  holds one component or one member.  No bucket is capped: pairs are left out
+  only when both ends are already connected.
 * Candidates are confirmed on the full shingle sets.
 
 Defined results: null text counts as empty; an empty set is linked with
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .store import join_ids, narrow, written
+from .store import BROADCAST_IDS, join_ids, narrow, written
 from .text import grams, mix, text_slices, words_of
 
 SHINGLE = 5
@@ -41,6 +42,7 @@ BINS = 128
 ROWS = 4
 PROBES = 1024
 PERCENT = 75
+SMALL = 8
 
 
 def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -143,33 +145,34 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component): smallest node reachable, for every node with an
-    edge.  ``edges`` (a, b).  Alternating large-star and small-star steps;
-    every step is a minimum per node and a join, so a node with very many
-    neighbours is pre-aggregated and its rows are spread by the skew join."""
-    def star(e: DataFrame, small: bool) -> DataFrame:
-        both = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        if not small:
-            both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        out = both.join(low, "u")
-        out = out.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
-            low.select(F.col("u").alias("a"), F.col("m").alias("b"))) if small else out.where("v > u").select(
-            F.col("v").alias("a"), F.col("m").alias("b")).unionByName(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        return out.where("a <> b").distinct()
-
-    now, before = written(edges.where("a <> b").distinct(), "edges"), None
-    for _ in range(max_rounds):
-        now = written(star(star(now, False), True), "edges")
-        seen = now.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
-        if seen == before:
+def _sized(df: DataFrame, n: int) -> DataFrame:
+    """``df`` for a join: broadcast if its counted rows are few."""
+    return F.broadcast(df) if n <= BROADCAST_IDS else df
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): smallest node reachable, for every node of
+    ``edges`` (a, b).  Every node points to its smallest neighbour and on to
+    that one's, the edges are contracted to the nodes pointed to, until none is
+    left: at most log2(nodes) rounds, one for stars.  Minima are aggregated
+    before the shuffle, so a node may have any number of edges."""
+    out, level, left = None, edges.where("a <> b"), None
+    while left != 0:
+        ends = level.select("a", "b").unionByName(level.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = written(ends.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.col("u")).alias("m")), "parents")
+        n = near.count()
+        if not n:
             break
-        before = seen
-    else:
-        raise RuntimeError("components did not settle")
-    return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(
-        now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+        onto = _sized(near.select(F.col("u").alias("m"), F.col("m").alias("component")), n)
+        step = written(near.join(onto, "m").select(F.col("u").alias("node"), "component"), "parents")
+        out = step if out is None else written(
+            out.join(_sized(step.select(F.col("node").alias("component"), F.col("component").alias("c")), n), "component", "left").select(
+                "node", F.coalesce("c", "component").alias("component")), "components")
+        ends = _sized(step.select(F.col("node").alias("a"), F.col("component").alias("x")), n)
+        others = _sized(step.select(F.col("node").alias("b"), F.col("component").alias("y")), n)
+        level = written(level.join(ends, "a").join(others, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        left = level.count()
+    return out if out is not None else edges.sparkSession.createDataFrame([], "node long, component long")
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -177,51 +180,52 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     the smallest doc_id with the same shingle set; ``components`` is (node,
     component) for the nodes with a confirmed link."""
     base = narrow(docs)
-    spark = docs.sparkSession
     sketch = written(base.mapInArrow(_sketch, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"), "sketch")
     same = ["n_shingles", "h1", "h2"]
-    cls = sketch.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    cls = written(cls, "classes")
-    shared = cls.where("copies > 1").select(*same, "node")
-    members = sketch.drop("bands").join(shared, same, "left").select(
-        "doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("node"))
-    reps = sketch.join(cls.select(F.col("node").alias("doc_id"), *same), ["doc_id", *same], "left_semi").dropDuplicates(["doc_id"])
-    rows = reps.select(F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("bucket"))
-    crowded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    rows = written(rows.join(crowded, "bucket", "left_semi")
-                   .withColumn("priority", F.xxhash64("node", F.lit(7))), "buckets")
-    edges = None
-    comp = spark.createDataFrame([], "node long, component long")
-    hubs_per_bucket = 1
+    shared = written(sketch.where("n_shingles > 0").groupBy(*same).agg(
+        F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies"), "classes")
+    members = sketch.join(_sized(shared, 2 * shared.count()), same, "left").withColumn("node", F.coalesce("node", "doc_id"))
+    rows = members.where("doc_id = node").select("node", "n_shingles", F.explode("bands").alias("bucket"))
+    members = members.select("doc_id", "n_shingles", "node")
+    crowded = written(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi")).where(
+        "lo <> hi").select("bucket", "size"), "crowded")
+    rows = written(rows.join(_sized(crowded, crowded.count()), "bucket").withColumn("priority", F.xxhash64("node", F.lit(7))), "buckets")
+    edges, comp, n_hubs = None, None, 1
+    state = rows.withColumn("component", F.col("node"))
     while True:
-        state = rows.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_ = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        state = written(state.join(open_.select("bucket"), "bucket", "left_semi"), "open")
-        if state.isEmpty():
-            break
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("priority", "node"))
-        hubs = written(state.withColumn("r", rank).where(F.col("r") <= hubs_per_bucket).drop("r"), "hubs")
+        # all members of a small bucket are hubs
+        hubs = state.withColumn("r", rank).where((F.col("r") <= max(n_hubs, SMALL)) & ((F.col("r") <= n_hubs) | (F.col("size") <= SMALL)))
         h = hubs.select("bucket", F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("component").alias("ca"),
                         F.struct("priority", "node").alias("pa"))
-        # hubs of one bucket meet each other once (smaller priority first)
+        # of two hubs, the one of smaller priority is compared with the other
         pairs = state.join(h, "bucket").where(
             (F.col("component") != F.col("ca")) & (F.struct("priority", "node") > F.col("pa"))
             & (100 * F.least("n_shingles", "na") >= PERCENT * F.greatest("n_shingles", "na")))
         pairs = written(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs")
-        involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        n_involved = involved.count()
-        if n_involved:
-            # a repeated doc_id may stand for several texts: any one of them
-            found = join_ids(base, involved, "doc_id", n_involved)
-            sets = written(found.mapInArrow(_sets, "node long, shingles binary"), "sets").dropDuplicates(["node"])
+        n_pairs = pairs.count()
+        if n_pairs:
+            involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+            # a repeated doc_id may stand for several texts: each of them counts
+            found = join_ids(base, involved, "doc_id", 2 * n_pairs)
+            sets = written(found.mapInArrow(_sets, "node long, shingles binary"), "sets")
             both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("b_set")), "b")
                     .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set")), "a"))
             new = both.select("a", "b", "a_set", "b_set").mapInArrow(_confirm, "a long, b long")
             edges = written(new if edges is None else edges.unionByName(new), "links")
-            comp = written(components(edges), "components")
-        rows = state.drop("component").join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        hubs_per_bucket *= 2
-    return members, comp
+            comp = components(edges)
+        # compared hubs leave; the rest of a large bucket may still be open
+        rows = state.where(F.col("size") > SMALL).withColumn("r", rank).where(F.col("r") > n_hubs).drop("r", "component")
+        if comp is None:
+            state = rows.withColumn("component", F.col("node"))
+        else:
+            state = rows.join(_sized(comp, comp.count()), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        open_ = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
+        state = written(state.join(open_, "bucket", "left_semi"), "open")
+        if state.isEmpty():
+            break
+        n_hubs *= 4
+    return members, comp if comp is not None else docs.sparkSession.createDataFrame([], "node long, component long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
