@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, line_dedup, minhash, mixing, packing, quality, substring, warc
+from . import ann, html_extract, line_dedup, lm_score, minhash, mixing, packing, quality, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op2_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = ann.valid(_table(spark, sf_dir, "embeddings"))
     return ann.search(vectors, vectors.where("id % 100 = 0"))
@@ -56,7 +60,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(_table(spark, sf_dir, "pages"))
 
 
-_QUERIES: list[Query] = [op1_mixed_sources, op2_packed_sequences, op4_nearest_neighbours, op5_warc_round_trip, op6_boilerplate_lines,
+_QUERIES: list[Query] = [op1_mixed_sources, op2_packed_sequences, op3_lattice_score, op4_nearest_neighbours, op5_warc_round_trip, op6_boilerplate_lines,
                          op7_near_duplicates, op8_repeated_passages, op9_quality_rules, op10_main_text]
 
 
