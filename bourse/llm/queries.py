@@ -65,7 +65,9 @@ _QUERIES: list[Query] = [op1_mixed_sources, op2_packed_sequences, op3_lattice_sc
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in _QUERIES}
+    import corpus_pipeline
+
+    return {q.__name__: q for q in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
