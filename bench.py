@@ -43,9 +43,9 @@ def main() -> None:
         "price_features": lambda: price.price_features(bars()),
         "momentum": lambda: mom.momentum_daily(price.by_ticker(bars())),
         "patterns": lambda: pat.patterns_daily(price.by_ticker(bars())),
-        "fundamentals": lambda: qc._fund(spark, sf_dir),
+        "fundamentals": lambda: qc._fund(spark, sf_dir, tk),
         "full_dataset": lambda: qc.full_dataset_query(spark, sf_dir, tk),
-        "preprocess": lambda: ds.preprocess(qc.full_dataset_query(spark, sf_dir, tk)),
+        "preprocess": lambda: ds.preprocess(qc.complete_dataset_query(spark, sf_dir, tk)),
     }
     only = os.environ.get("BENCH_ONLY")
     if only:

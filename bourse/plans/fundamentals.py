@@ -51,6 +51,8 @@ FIXTURE_ITEMS = {
     "free_cf": "NF",
     "revenue": "AO",
 }
+# For the per-ticker sources the cash flow is an item whose newest value is known.
+TICKER_ITEMS = FIXTURE_ITEMS | {"operating_cf": "RO"}
 
 FUNDAMENTAL_COLUMNS = [
     "debt_to_equity", "current_ratio", "cash_ratio", "working_capital", "working_capital_ratio",
@@ -180,19 +182,33 @@ def fundamental_features(
     calendar: DataFrame,
     end_date: str,
     items: dict[str, str] = STATEMENT_ITEMS,
+    esg: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per ticker seen in any source."""
+    """One row per ticker seen in any source.  The cash-flow margins
+    divide by the profile's revenue where the profile has one."""
+    latest = latest_items(statements, items)
+    ratios = statement_ratios(latest)
+    by_profile = "revenue" in profile.columns
+    if by_profile:
+        ratios = ratios.drop("operating_cf_margin", "free_cf_margin")
     parts = [
-        statement_ratios(latest_items(statements, items)),
+        ratios,
         holder_stats(holders),
         rating_stats(recommendations),
         earnings_days(calendar, end_date),
         dividend_stability(dividends),
         profile.drop("days_to_next_earnings"),
     ]
+    if by_profile:
+        parts.append(latest.select("ticker", "operating_cf", "free_cf"))
+    if esg is not None:
+        parts.append(esg_scores(esg))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     value_cols = [c for c in stacked.columns if c != "ticker"]
     out = stacked.groupBy("ticker").agg(*[F.max(c).alias(c) for c in value_cols])
+    if by_profile:
+        out = out.withColumns({f"{c}_margin": guarded_margin(c, "revenue") for c in ("operating_cf", "free_cf")}).drop(
+            "operating_cf", "free_cf", "revenue")
     out = out.withColumn("recent_rating_changes", F.coalesce("recent_rating_changes", F.lit(0).cast("bigint")))
     return out.withColumns({c: round6(c) for c, t in out.dtypes if t == "double"})
 

@@ -109,14 +109,14 @@ def _c06(spark, d):
 
 @register("J06_market_outer_join_fold", feat_sql.market_sql())
 def _j06(spark, d):
-    return _round_doubles(se.market_features_by_joins(src.market(spark, d), se.FIXTURE_MARKET))
+    return _round_doubles(se.market_features(src.market(spark, d), se.FIXTURE_MARKET))
 
 
-def _fund(spark, d):
+def _fund(spark, d, ticker="type"):
     return fu.fundamental_features(
-        src.statements(spark, d), src.profile(spark, d), src.holders(spark, d),
-        src.recommendations(spark, d), src.dividends(spark, d), src.calendar(spark, d),
-        END_DATE, fu.FIXTURE_ITEMS,
+        src.statements(spark, d, ticker), src.company_profiles(spark, d, ticker), src.company_holders(spark, d, ticker),
+        src.company_recommendations(spark, d, ticker), src.company_dividends(spark, d, ticker), src.company_calendar(spark, d, ticker),
+        END_DATE, fu.TICKER_ITEMS, src.company_esg(spark, d, ticker),
     )
 
 
@@ -201,8 +201,9 @@ def _f08(spark, d):
             for c in ["debt_to_equity", "current_ratio", "cash_ratio", "working_capital", "working_capital_ratio",
                       "retained_earnings_to_assets", "long_term_debt_to_equity", "operating_cf_margin",
                       "free_cf_margin", "pct_held_by_inst", "strong_to_total_reco_ratio", "days_to_next_earnings",
-                      "dividend_stability", "trailing_peg", "esg_env", "dividend_yield",
-                      "institutional_holders_count", "recent_rating_changes", "sector", "industry", "country"]
+                      "dividend_stability", "trailing_peg", "esg_env", "esg_soc", "esg_gov", "dividend_yield",
+                      "institutional_holders_count", "recent_rating_changes", "company_name", "sector", "industry", "country",
+                      "market_cap", "beta", "trailing_pe", "forward_pe", "price_to_book", "full_time_employees"]
         ) + " AS INTEGER) AS missing_count FROM fund",
         fund="(" + feat_sql.fundamentals_sql(END_DATE) + ")",
     ),
@@ -242,14 +243,14 @@ def _monthly_parts(spark, d, ticker="type"):
 
 def full_dataset_query(spark, d, ticker="type"):
     price_m, mom_m, pat_m, macro, market = _monthly_parts(spark, d, ticker)
-    return _round_doubles(ds.full_dataset(price_m, _fund(spark, d), mom_m, pat_m, macro, market))
+    return _round_doubles(ds.full_dataset(price_m, _fund(spark, d, ticker), mom_m, pat_m, macro, market))
 
 
 def _c07_sql(ticker="type"):
     return fx.with_tables(
         "SELECT * FROM c_t WHERE target IS NOT NULL",
         c_price=price_sql.price_sql(ticker),
-        c_fund=feat_sql.fundamentals_sql(END_DATE),
+        c_fund=feat_sql.fundamentals_sql(END_DATE, ticker=ticker),
         c_mom=mom_sql.momentum_monthly_sql(ticker),
         c_pat=pat_sql.patterns_monthly_sql(ticker),
         c_macro=feat_sql.macro_sql(),
@@ -268,14 +269,59 @@ FROM c_price p LEFT JOIN c_fund f ON p.ticker = f.ticker
 register("C07_full_dataset", _c07_sql())(full_dataset_query)
 
 
-@register("C08_impute")
+# C08 / C09 work on complete months: the indicators are past their warm-up and
+# the macro and market calendars cover the month.
+_SERIES = [*mom.MOMENTUM_COLUMNS, *se.FIXTURE_MACRO, *se.FIXTURE_MARKET]
+_FILL_STEPS = [(c, g) for c, groups in ds.GROUP_FILL.items() for g in groups]
+
+
+def complete_dataset_query(spark, d, ticker="type"):
+    return ds.complete_months(full_dataset_query(spark, d, ticker), _SERIES)
+
+
+def _fill_ctes():
+    fills = [f"coalesce({c}, 0.0) AS {c}" for c in ds.ZERO_FILL] + [f"coalesce({c}, {v}) AS {c}" for c, v in ds.CONSTANT_FILL.items()]
+    ctes = {"c07": _c07_sql(),
+            "s0": f"SELECT * REPLACE ({', '.join(fills)}) FROM c07 WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _SERIES)}
+    for i, (col, group) in enumerate(_FILL_STEPS, start=1):
+        ctes[f"m{i}"] = f"SELECT {group}, median({col}) AS m FROM s{i - 1} WHERE {group} IS NOT NULL GROUP BY {group}"
+        ctes[f"s{i}"] = (f"SELECT p.* REPLACE (coalesce(p.{col}, m{i}.m) AS {col}) FROM s{i - 1} p LEFT JOIN m{i} ON p.{group} = m{i}.{group}")
+    rounded = ", ".join(f"{fx.r6(c)} AS {c}" for c in ds.GROUP_FILL)
+    ctes["filled"] = f"SELECT * REPLACE ({rounded}) FROM s{len(_FILL_STEPS)}"
+    return ctes
+
+
+@register("C08_impute", fx.with_tables("SELECT * FROM filled", **_fill_ctes()))
 def _c08(spark, d):
-    return ds.impute(full_dataset_query(spark, d))
+    return _round_doubles(ds.impute(complete_dataset_query(spark, d)))
+
+
+_SPLIT_DAYS = "CAST(date - (SELECT min(date) FROM filled) AS INTEGER)"
+_SPAN = "(SELECT CAST(max(date) - min(date) AS INTEGER) FROM filled)"
 
 
-@register("C09_preprocess")
+@register("C09_preprocess", fx.with_tables(
+    f"""SELECT f.* EXCLUDE (ticker, sector, industry, date, target, company_name, country, year), t.ticker_index,
+  {fx.r6('sin(2 * pi() * month / 12)')} AS month_sin, {fx.r6('cos(2 * pi() * month / 12)')} AS month_cos,
+  CASE WHEN sector = 'AMERICA' THEN 1 ELSE 0 END AS "sector_AMERICA", CASE WHEN industry = 'MACHINERY' THEN 1 ELSE 0 END AS "industry_MACHINERY",
+  CASE WHEN target >= close * 1.10 THEN 1 ELSE 0 END AS {ds.LABEL},
+  CASE WHEN {_SPLIT_DAYS} <= {_SPAN} * 0.7 THEN 'train' WHEN {_SPLIT_DAYS} <= {_SPAN} * 0.7 + {_SPAN} * 0.15 THEN 'validation' ELSE 'test' END AS split
+FROM filled f JOIN (SELECT ticker, CAST(row_number() OVER (ORDER BY ticker) - 1 AS INTEGER) AS ticker_index
+  FROM (SELECT DISTINCT ticker FROM filled)) t ON f.ticker = t.ticker""", **_fill_ctes()))
 def _c09(spark, d):
-    return ds.preprocess(full_dataset_query(spark, d))
+    return _round_doubles(ds.preprocess(complete_dataset_query(spark, d)))
+
+
+@register("C09_C10_features", fx.with_tables(
+    f"""SELECT CASE WHEN target >= close * 1.10 THEN 1 ELSE 0 END AS label, count(*) AS n,
+  round(sum(close + trailing_peg + esg_env + esg_soc + esg_gov), 2) AS checked FROM filled GROUP BY 1""", **_fill_ctes()))
+def _c09_c10(spark, d):
+    """Feature rows per label, and a checksum of five features by position."""
+    table = ds.preprocess(complete_dataset_query(spark, d))
+    rows = ds.features(table)
+    numeric = [c for c, t in table.dtypes if t not in ("string", "date", "boolean") and c not in (ds.LABEL, "split", "ticker_index")]
+    some = sum(F.col("features")[numeric.index(c)] for c in ("close", "trailing_peg", "esg_env", "esg_soc", "esg_gov"))
+    return rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(some), 2).alias("checked"))
 
 
 def _price_m(spark, d):
@@ -294,7 +340,8 @@ def _join_sql(right_sql: str, on: str, exclude: str) -> str:
 def _j01(spark, d):
     bars = _bars(spark, d)
     right = _round_doubles(mom.momentum_monthly(mom.momentum_daily(bars)))
-    return ds.left_join_many_to_one(price.price_features(bars, partitioned=True), right, ["ticker", "date"])
+    # unique by construction: a groupBy on the keys (J05 checks it)
+    return ds.left_join_many_to_one(price.price_features(bars, partitioned=True), right, ["ticker", "date"], validate=False)
 
 
 @register("J02_join_monthly_patterns",
@@ -302,7 +349,8 @@ def _j01(spark, d):
 def _j02(spark, d):
     bars = _bars(spark, d)
     right = pat.patterns_monthly(pat.patterns_daily(bars))
-    return ds.left_join_many_to_one(price.price_features(bars, partitioned=True), right, ["ticker", "date"])
+    # unique by construction: a groupBy on the keys (J05 checks it)
+    return ds.left_join_many_to_one(price.price_features(bars, partitioned=True), right, ["ticker", "date"], validate=False)
 
 
 @register("J03_join_macro", _join_sql(feat_sql.macro_sql(), "p.date = r.date", "date"))
@@ -373,7 +421,7 @@ FROM profile""",
 
 @register("F10_F11_G09_profile_imputation", _IMPUTE_SQL)
 def _f11(spark, d):
-    out = ds.impute(src.profile(spark, d), strict=True)
+    out = ds.impute(src.profile(spark, d))
     return _round_doubles(out.select("ticker", "trailing_peg", "esg_env", "dividend_yield", "days_to_next_earnings"))
 
 
@@ -886,7 +934,7 @@ def _s15(spark, d):
     from pyspark.ml.classification import RandomForestClassificationModel
 
     train, test = _scaled_sets(spark, d)
-    model = ln.random_forest(n_trees=20).fit(train)
+    model = ln.random_forest().fit(train)
     path = sio.save_model(model, sio.scratch_path(spark, "models"), "RandomForest")
     return ln.predict(RandomForestClassificationModel.load(path), test)
 
@@ -915,9 +963,15 @@ def _g04(spark, d):
 register("J07_W08_macro_alignment", feat_sql.macro_sql())(_c05)
 
 
-@register("F12_one_hot")
+@register("F12_one_hot", fx.with_tables(
+    """SELECT p.date, p.close, t.i AS ticker_index, CASE WHEN f.sector = 'AMERICA' THEN 1 ELSE 0 END AS "sector_AMERICA",
+  CASE WHEN f.industry = 'MACHINERY' THEN 1 ELSE 0 END AS "industry_MACHINERY"
+FROM c_p p JOIN profile f ON p.ticker = f.ticker JOIN (SELECT ticker, CAST(row_number() OVER (ORDER BY ticker) - 1 AS INTEGER) AS i
+  FROM (SELECT DISTINCT ticker FROM c_p)) t ON p.ticker = t.ticker""",
+    c_p=price_sql.price_sql(), **{k: v for k, v in fx.company_tables().items() if k in ("tk", "profile")}))
 def _f12(spark, d):
-    return ds.one_hot(_price_m(spark, d).select("ticker", "date", "close"), ["ticker"])
+    who = src.company_profiles(spark, d).select("ticker", "sector", "industry")
+    return ds.one_hot(_price_m(spark, d).select("ticker", "date", "close").join(who, "ticker"))
 
 
 @register(
@@ -969,4 +1023,4 @@ _IMPUTE_COLS = ["trailing_peg", "esg_env", "esg_soc", "esg_gov", "dividend_yield
 def _c08_esg(spark, d):
     prof = src.profile(spark, d).drop("esg_env")
     both = prof.join(fu.esg_scores(src.esg(spark, d)), "ticker", "left")
-    return _round_doubles(ds.impute(both, strict=True).select("ticker", *_IMPUTE_COLS))
+    return _round_doubles(ds.impute(both).select("ticker", *_IMPUTE_COLS))

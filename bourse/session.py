@@ -2,13 +2,16 @@
 
 The engine never creates its own cluster settings at run time: on a cluster
 the session comes from the caller.  ``local_session`` is for tests and the
-bench; ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session and
-only falls back to a scratch folder when the setting is absent (local runs).
+bench; ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session; where it is
+unset a local run gets a temporary folder, a cluster run an error.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,10 +36,15 @@ PLAN_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply ``PLAN_CONF`` (runtime SQL settings) to a caller's session."""
-    for k, v in PLAN_CONF.items():
-        spark.conf.set(k, v)
-    return spark
+    """A session with the caller's runtime settings and ``PLAN_CONF``; the
+    caller's own session is left as it is."""
+    if all(spark.conf.get(k, None) == v for k, v in PLAN_CONF.items()):
+        return spark
+    tuned = spark.newSession()
+    for k, v in (spark.conf.getAll | PLAN_CONF).items():
+        if spark.conf.isModifiable(k):
+            tuned.conf.set(k, v)
+    return tuned
 
 
 def _local_memory() -> str:
@@ -64,7 +72,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "bou
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Set a scratch folder only when the session names none (tests, bench).
+    Only a local run without one (tests, bench) gets a temporary folder, which
+    goes when the driver ends.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -74,33 +83,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
-    path = tempfile.mkdtemp(prefix="bourse-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+    path = tempfile.mkdtemp(prefix="bourse-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(path)
     return path
-
-
-def sizing(input_bytes: int, bar_rows: int, executor_cores: int, executors: int,
-           target_partition_bytes: int = 128 << 20, bar_row_bytes: int = 1200) -> dict[str, str]:
-    """Suggested settings for a cluster run (returned, never applied here).
-
-    * scan splits: ``spark.sql.files.maxPartitionBytes`` = 128 MB;
-    * the trades -> bars aggregation is partial (map-side), so its shuffle
-      carries at most one row per (ticker, day) per map task; AQE coalesces
-      it by bytes;
-    * the window stages work on bar rows widened to ~150 columns
-      (``bar_row_bytes``); ``spark.sql.shuffle.partitions`` is chosen so one
-      partition of widened bars stays near ``target_partition_bytes`` and
-      there are at least 3 tasks per core.
-    """
-    cores = max(1, executor_cores * executors)
-    widened = bar_rows * bar_row_bytes
-    shuffle = max(3 * cores, -(-widened // target_partition_bytes))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-        "_input_splits": str(-(-input_bytes // target_partition_bytes)),
-    }

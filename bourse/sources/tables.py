@@ -27,7 +27,9 @@ Schemas (all dates are DATE, all measures DOUBLE, NaN never enters):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TABLES = (
@@ -53,12 +55,30 @@ def _nan_to_null(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in cols})
 
 
+# Largest value of each line key that fits its digits of the order key.
+SEQ_DIGITS = {"l_orderkey": 14, "l_linenumber": 4, "l_partkey": 10, "l_suppkey": 10}
+
+
+def trade_order() -> Column:
+    """The four line keys as one decimal(38,0) with the same order.  A key that
+    is negative or has more digits than its field raises instead of wrapping."""
+    out = None
+    for c, digits in SEQ_DIGITS.items():
+        key = F.col(c).cast("bigint")
+        fits = key.between(0, 10 ** digits - 1) | key.isNull()
+        key = F.when(fits, key).otherwise(F.raise_error(F.lit(f"{c} does not fit {digits} digits")).cast("bigint")).cast(f"decimal({digits},0)")
+        out = key if out is None else (out * F.lit(Decimal(10 ** digits)) + key).cast("decimal(38,0)")
+    return out
+
+
 def bars(spark: SparkSession, sf_dir: str, ticker: str = "type") -> DataFrame:
     """Daily OHLCV bars: one row per (ticker, day).
 
     open/close are the first/last trade of the day under a total order of the
     four line keys; a ticker therefore never has more than one row per
-    calendar day, which bounds every per-ticker window downstream.
+    calendar day, which bounds every per-ticker window downstream.  First and
+    last are the minimum and maximum of (order key, price), both of fixed
+    width, so the partial aggregate hashes and no task sorts its trades.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -72,7 +92,7 @@ def bars(spark: SparkSession, sf_dir: str, ticker: str = "type") -> DataFrame:
         F.to_date("l_shipdate").alias("date"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("px"),
         F.col("l_quantity").alias("qty"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("seq"),
+        trade_order().alias("seq"),
     )
     out = trades.groupBy("ticker", "date").agg(
         F.min_by("px", "seq").alias("open"),
@@ -126,14 +146,14 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def statements(spark: SparkSession, sf_dir: str, ticker: str = "type") -> DataFrame:
     """Long statement table; the newest value of the A-items is null."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_returnflag", "l_linestatus", "l_shipdate", "l_extendedprice"
     )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    part = table(spark, sf_dir, "part").select("p_partkey", TICKER_KEYS[ticker]().alias("ticker"))
     j = li.join(part, li.l_partkey == part.p_partkey).select(
-        F.col("p_type").alias("ticker"),
+        "ticker",
         "l_returnflag",
         "l_linestatus",
         F.year("l_shipdate").alias("yr"),
@@ -250,6 +270,77 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- one ticker domain
+# The company sources above keep the keys of their tables.  Those below carry
+# the tickers of the bars, so that they join them: ticker number i stands for
+# the keys k with k % (number of tickers) = i.
+
+
+def ticker_index(spark: SparkSession, sf_dir: str, ticker: str = "type") -> DataFrame:
+    """(ticker, i, n): the tickers of the bars, numbered in order."""
+    names = table(spark, sf_dir, "part").select(TICKER_KEYS[ticker]().alias("ticker")).distinct()
+    every = Window.partitionBy(F.lit(0))  # of the ticker names only
+    return names.select("ticker", (F.row_number().over(every.orderBy("ticker")) - 1).cast("bigint").alias("i"), F.count(F.lit(1)).over(every).alias("n"))
+
+
+def _by_ticker(rows: DataFrame, key: str, index: DataFrame) -> DataFrame:
+    """``rows`` with the ticker of their ``key``.  The rows are spread over
+    few tickers, so the small index is what AQE broadcasts."""
+    n = index.agg(F.max("n")).first()[0] or 1
+    return rows.withColumn("i", F.pmod(F.col(key).cast("bigint"), F.lit(n))).join(index.select("ticker", "i"), "i").drop("i")
+
+
+def company_profiles(spark: SparkSession, sf_dir: str, ticker: str = "type") -> DataFrame:
+    """S04 with all profile fields, one row per bar ticker."""
+    t = ticker_index(spark, sf_dir, ticker)
+    c = table(spark, sf_dir, "customer").select((F.col("c_custkey") - 1).alias("i"), "c_acctbal")
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("_n"), F.col("n_name").alias("country"))
+    r = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("_r"), F.col("r_name").alias("sector"))
+    b, k = F.col("c_acctbal"), F.col("i") + 1
+    return (
+        t.join(c, "i").join(n, F.col("i") % 3 == F.col("_n")).join(r, F.col("i") % 2 == F.col("_r"))
+        .select(
+            "ticker", F.concat(F.lit("Company "), "ticker").alias("company_name"), "sector",
+            F.when(F.col("i") % 2 == 0, "BUILDING").otherwise("MACHINERY").alias("industry"), "country",
+            (F.abs(b) * 1e6 + 1e9).alias("market_cap"), ((k % 5) / 2 + 0.5).alias("beta"), (b / 100).alias("trailing_pe"),
+            (b / 120).alias("forward_pe"), F.when(k % 7 == 0, F.lit(None)).otherwise(b / 1000).alias("trailing_peg"),
+            (b / 700).alias("price_to_book"), F.when(k % 3 == 0, F.lit(None)).otherwise(b / 10000).alias("dividend_yield"),
+            (F.abs(b) * 10 + 1000).alias("revenue"), (k * 100).alias("full_time_employees"),
+        )
+    )
+
+
+def company_esg(spark: SparkSession, sf_dir: str, ticker: str = "type") -> DataFrame:
+    """S09 per bar ticker."""
+    t = ticker_index(spark, sf_dir, ticker).select(F.col("ticker").alias("name"), (F.col("i") + 1).cast("string").alias("ticker"))
+    return esg(spark, sf_dir).join(t, "ticker").select(F.col("name").alias("ticker"), "item", "value")
+
+
+def company_holders(spark: SparkSession, sf_dir: str, ticker: str = "type") -> DataFrame:
+    """S05 per bar ticker."""
+    s = _by_ticker(table(spark, sf_dir, "supplier"), "s_suppkey", ticker_index(spark, sf_dir, ticker))
+    return s.select("ticker", F.col("s_name").alias("holder"), (F.col("s_acctbal") / 100000).alias("pct_held"))
+
+
+def company_recommendations(spark: SparkSession, sf_dir: str, ticker: str = "type") -> DataFrame:
+    """S06 per bar ticker, from the per-user counts."""
+    r = _by_ticker(recommendations(spark, sf_dir).withColumnRenamed("ticker", "user"), "user", ticker_index(spark, sf_dir, ticker))
+    kinds = ["strong_buy", "buy", "hold", "sell", "strong_sell"]
+    return r.groupBy("ticker", "period").agg(*[F.sum(c).alias(c) for c in kinds])
+
+
+def company_dividends(spark: SparkSession, sf_dir: str, ticker: str = "type") -> DataFrame:
+    """S07 per bar ticker."""
+    return _by_ticker(dividends(spark, sf_dir).withColumnRenamed("ticker", "key"), "key", ticker_index(spark, sf_dir, ticker)).select(
+        "ticker", "date", "amount")
+
+
+def company_calendar(spark: SparkSession, sf_dir: str, ticker: str = "type") -> DataFrame:
+    """S08 per bar ticker."""
+    return _by_ticker(calendar(spark, sf_dir).withColumnRenamed("ticker", "key"), "key", ticker_index(spark, sf_dir, ticker)).select(
+        "ticker", "earnings_date")
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = table(spark, sf_dir, "labels")
     return lab.select(

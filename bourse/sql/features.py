@@ -68,7 +68,7 @@ def _div(a, b):
     return fx.div(a, b)
 
 
-def fundamentals_sql(end_date: str, items: dict[str, str] = fu.FIXTURE_ITEMS) -> str:
+def fundamentals_sql(end_date: str, items: dict[str, str] = fu.TICKER_ITEMS, ticker: str = "type") -> str:
     ratios = f"""SELECT ticker,
   {_div('total_liabilities', 'total_equity')} AS debt_to_equity,
   {_div('current_assets', 'current_liabilities')} AS current_ratio,
@@ -76,9 +76,7 @@ def fundamentals_sql(end_date: str, items: dict[str, str] = fu.FIXTURE_ITEMS) ->
   working_capital,
   {_div('working_capital', 'total_assets')} AS working_capital_ratio,
   {_div('retained_earnings', 'total_assets')} AS retained_earnings_to_assets,
-  {_div('long_term_debt', 'total_equity')} AS long_term_debt_to_equity,
-  CASE WHEN operating_cf <> 0 AND revenue <> 0 THEN operating_cf / revenue END AS operating_cf_margin,
-  CASE WHEN free_cf <> 0 AND revenue <> 0 THEN free_cf / revenue END AS free_cf_margin
+  {_div('long_term_debt', 'total_equity')} AS long_term_debt_to_equity, operating_cf, free_cf
 FROM latest"""
     recent = ", ".join(f"'{p}'" for p in fu.RECENT_PERIODS)
     tot = " + ".join(fu.RATING_COLUMNS)
@@ -96,23 +94,26 @@ FROM latest"""
         "SELECT ticker, t AS recent_rating_changes, CASE WHEN t <> 0 THEN CAST(sb AS DOUBLE) / t END AS strong_to_total_reco_ratio FROM ratings",
         f"SELECT ticker, CAST(datediff('day', DATE '{end_date}', min(earnings_date)) AS DOUBLE) AS days_to_next_earnings FROM calendar GROUP BY ticker",
         "SELECT * FROM stab",
-        "SELECT ticker, sector, industry, country, trailing_peg, esg_env, dividend_yield FROM profile",
+        "SELECT * FROM profile",
+        "SELECT ticker, " + ", ".join(f"max(CASE WHEN item = '{i}' THEN value END) AS {c}" for c, i in fu.ESG_ITEMS.items()) + " FROM esg GROUP BY ticker",
     ]
     stacked = "\nUNION ALL BY NAME\n".join(f"({p})" for p in parts)
     dbl = ["debt_to_equity", "current_ratio", "cash_ratio", "working_capital", "working_capital_ratio",
-           "retained_earnings_to_assets", "long_term_debt_to_equity", "operating_cf_margin", "free_cf_margin",
+           "retained_earnings_to_assets", "long_term_debt_to_equity",
            "pct_held_by_inst", "strong_to_total_reco_ratio", "days_to_next_earnings", "dividend_stability",
-           "trailing_peg", "esg_env", "dividend_yield"]
-    sel = ["ticker"] + [f"{r6('max(' + c + ')')} AS {c}" for c in dbl] + [
+           "market_cap", "beta", "trailing_pe", "forward_pe", "trailing_peg", "price_to_book", "dividend_yield",
+           "esg_env", "esg_soc", "esg_gov"]
+    margins = [f"{r6(f'CASE WHEN max({c}) <> 0 AND max(revenue) <> 0 THEN max({c}) / max(revenue) END')} AS {c}_margin"
+               for c in ("operating_cf", "free_cf")]
+    sel = ["ticker"] + [f"{r6('max(' + c + ')')} AS {c}" for c in dbl] + margins + [
+        "max(company_name) AS company_name", "max(full_time_employees) AS full_time_employees",
         "max(institutional_holders_count) AS institutional_holders_count",
         "coalesce(max(recent_rating_changes), 0) AS recent_rating_changes",
         "max(sector) AS sector", "max(industry) AS industry", "max(country) AS country",
     ]
     return fx.with_tables(
         f"SELECT {', '.join(sel)} FROM stacked GROUP BY ticker",
-        statements=fx.STATEMENTS, profile=fx.PROFILE, holders=fx.HOLDERS,
-        recommendations=fx.RECOMMENDATIONS, dividends=fx.DIVIDENDS, calendar=fx.CALENDAR,
-        latest=latest_items_sql(items), ratios=ratios, ratings=ratings, divs=divs, stab=stab,
+        **fx.company_tables(ticker), latest=latest_items_sql(items), ratios=ratios, ratings=ratings, divs=divs, stab=stab,
         stacked=stacked,
     )
 

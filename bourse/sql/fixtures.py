@@ -88,6 +88,35 @@ CALENDAR = """
 SELECT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderdate AS DATE) AS earnings_date
 FROM orders"""
 
+# One ticker domain: the company sources keyed by the tickers of the bars.
+
+
+def ticker_index(ticker: str = "type") -> str:
+    return (f"SELECT ticker, row_number() OVER (ORDER BY ticker) - 1 AS i, count(*) OVER () AS n "
+            f"FROM (SELECT DISTINCT {BARS[ticker]} AS ticker FROM part)")
+
+
+def company_tables(ticker: str = "type") -> dict[str, str]:
+    """CTEs of the company sources; ``tk`` numbers the tickers."""
+    return {
+        "tk": ticker_index(ticker),
+        "statements": STATEMENTS.replace("p_type", BARS[ticker]),
+        "profile": """SELECT ticker, concat('Company ', ticker) AS company_name, r_name AS sector, CASE WHEN i % 2 = 0 THEN 'BUILDING' ELSE 'MACHINERY' END AS industry, n_name AS country,
+  abs(c.c_acctbal) * 1e6 + 1e9 AS market_cap, ((i + 1) % 5) / 2 + 0.5 AS beta, c.c_acctbal / 100 AS trailing_pe, c.c_acctbal / 120 AS forward_pe,
+  CASE WHEN (i + 1) % 7 = 0 THEN NULL ELSE c.c_acctbal / 1000 END AS trailing_peg, c.c_acctbal / 700 AS price_to_book,
+  CASE WHEN (i + 1) % 3 = 0 THEN NULL ELSE c.c_acctbal / 10000 END AS dividend_yield,
+  abs(c.c_acctbal) * 10 + 1000 AS revenue, (i + 1) * 100 AS full_time_employees
+FROM tk JOIN customer c ON c.c_custkey = i + 1
+  JOIN nation ON n_nationkey = i % 3 JOIN region ON r_regionkey = i % 2""",
+        "esg": f"SELECT tk.ticker, e.item, e.value FROM ({ESG}) e JOIN tk ON e.ticker = CAST(i + 1 AS VARCHAR)",
+        "holders": "SELECT ticker, s_name AS holder, s_acctbal / 100000 AS pct_held FROM supplier JOIN tk ON s_suppkey % n = i",
+        "recommendations": f"""SELECT tk.ticker, period, sum(strong_buy) AS strong_buy, sum(buy) AS buy, sum(hold) AS hold, sum(sell) AS sell,
+  sum(strong_sell) AS strong_sell FROM ({RECOMMENDATIONS}) r JOIN tk ON CAST(r.ticker AS BIGINT) % n = i GROUP BY tk.ticker, period""",
+        "dividends": f"SELECT tk.ticker, date, amount FROM ({DIVIDENDS}) d JOIN tk ON CAST(d.ticker AS BIGINT) % n = i",
+        "calendar": f"SELECT tk.ticker, earnings_date FROM ({CALENDAR}) c JOIN tk ON CAST(c.ticker AS BIGINT) % n = i",
+    }
+
+
 PREDICTIONS = """
 SELECT doc_id AS id, quality AS label, toxic AS prediction,
        CAST((doc_id * 37) % 1000 AS DOUBLE) / 1000 AS probability
