@@ -35,6 +35,7 @@ TEMPERATURE = {"source": 0.7, "lang": 0.9, "topic": 1.0}
 BUDGET = 0.9
 SEED = 17
 BROADCAST_CELLS = 200_000
+ONE_TASK = 50_000  # up to so many cells are raked in one task, more by shuffles
 WORD = r"[^\x20\x09-\x0D]+"
 MARGINS = ("source", "lang", "topic")
 
@@ -70,7 +71,10 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame | float], sweeps: int =
         seen = seen.withColumn("want", F.try_divide("want", F.sum("want").over(everything)))
         cells = cells.join(seen.select(c, F.col("want").alias(f"want_{m}")), c)
     cells = written(cells.withColumn("w", F.col("tokens").cast("double")).withColumn("total", F.sum("w").over(everything)), "cells")
+    few = cells.count() <= ONE_TASK
     for sweep in range(sweeps):
+        if few and sweep % PLANNED == 0:
+            cells = cells.coalesce(1)  # a few cells: no exchange for each scaling
         for m in MARGINS:
             cells = cells.withColumn("w", F.coalesce(F.col("w") * F.try_divide(
                 F.col(f"want_{m}") * F.col("total"), F.sum("w").over(Window.partitionBy(f"__{m}"))), F.lit(0.0)))
