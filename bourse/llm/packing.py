@@ -42,52 +42,96 @@ CAPACITY = 1024
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 END_ID = 0
-CACHE = 300_000
+CACHE = 500_000
+GROUP = 1 << 20
 ROWS_PER_BUCKET = 200_000
 
 
-class Encoder(dict):
-    """Ids of a text as little-endian uint32 bytes.
+class Encoder:
+    """Ids of texts as little-endian uint32 bytes.
 
-    A byte-level BPE treats "` word`" alike wherever it stands, so chunks that
-    begin at a space are encoded once and kept (at most ``CACHE`` of them).
-    Latin chunks go through the rank file of the same vocabulary, others
-    through the tokenizer itself; texts with a space between white space are
-    encoded whole, because there the chunks would not be independent.
+    A byte-level BPE cuts a text before each white space that stands alone, so
+    the chunks that begin there are encoded once and kept (about ``CACHE`` of
+    them).  The new Latin chunks of several texts go through the rank file of
+    the same vocabulary in one call, and their ids are dealt out by the lengths
+    of the tokens; other chunks, and texts with white space next to white
+    space, whose chunks are not independent, go through the tokenizer itself.
     """
 
-    _inner_space = re.compile(r"[\s\x1c-\x1f] (?:[\s\x1c-\x1f]|$)")
+    _run = re.compile(r"\s\s")
 
     def __init__(self, tokenizer: str, ranks: str | None, pattern: str | None):
         import tiktoken
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(tokenizer)
-        self.fast = None
+        self.fast, self.known = None, {}
         if ranks:
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.first: dict[str, bytes] = {}
-
-    def raw(self, chunk: str) -> bytes:
-        if self.fast is not None and chunk and max(chunk) < "ɐ" and "<|" not in chunk:
-            return np.array(self.fast.encode_ordinary(chunk), "<u4").tobytes()
-        return np.array(self.slow.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        out = self.raw(" " + chunk)
-        if len(chunk) < 64:
-            self[chunk] = out
-        return out
+            self.length = np.zeros(max(table.values()) + 1, np.int64)
+            for token, i in table.items():
+                self.length[i] = len(token)
+
+    def raw(self, text: str) -> bytes:
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _plain(self, chunk: str) -> bool:
+        return self.fast is not None and max(chunk, default="") < "ɐ" and "<|" not in chunk
+
+    def _learn(self, parts: set[str]) -> None:
+        """Encode new chunks; a chunk stands for itself after a line break and
+        follows a space otherwise."""
+        names = list(parts)
+        chunks = [x if x[:1] == "\n" else " " + x for x in names]
+        if not self._plain("".join(chunks)):  # some are not: sort them out
+            plain = [self._plain(c) for c in chunks]
+            for x, c in [(x, c) for x, c, ok in zip(names, chunks, plain) if not ok]:
+                self.known[x] = self.raw(c)
+            names, chunks = [x for x, ok in zip(names, plain) if ok], [c for c, ok in zip(chunks, plain) if ok]
+        if not names:
+            return
+        text = "".join(chunks)
+        ends = np.cumsum(list(map(len, chunks if text.isascii() else map(str.encode, chunks))), dtype=np.int64)
+        ids = np.array(self.fast.encode_ordinary(text), "<u4")
+        at = np.cumsum(self.length[ids])
+        stop = np.searchsorted(at, ends) + 1
+        if not np.array_equal(at[stop - 1], ends):
+            raise ValueError("tokens cross chunks")
+        raw, cut = ids.tobytes(), (4 * stop).tolist()
+        self.known.update(zip(names, map(raw.__getitem__, map(slice, [0, *cut], cut))))
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        parts = [None if self._run.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
+        heads = [x and x.pop(0) for x in parts]
+        if len(self.known) > CACHE:
+            self.known.clear()
+        new = set().union(*filter(None, parts)) - self.known.keys()
+        if new:
+            self._learn(new)
+        get = self.known.__getitem__
+        return [self.raw(t) if x is None else (self._first(h) if h else b"") + b"".join(map(get, x))
+                for t, h, x in zip(texts, heads, parts)]
+
+    def _first(self, chunk: str) -> bytes:
+        return np.array(self.fast.encode_ordinary(chunk), "<u4").tobytes() if self._plain(chunk) else self.raw(chunk)
 
     def ids(self, text: str) -> bytes:
-        if self._inner_space.search(text):
-            return self.raw(text)
-        first, *rest = text.split(" ")
-        return (self.raw(first) if first else b"") + b"".join(map(self.__getitem__, rest))
+        return self.many([text])[0]
+
+
+def _encoded(enc: Encoder, texts: list[str]):
+    """The ids of all texts, in groups of about ``GROUP`` characters."""
+    a = 0
+    while a < len(texts):
+        b, size = a, 0
+        while b < len(texts) and (b == a or size < GROUP):
+            size += len(texts[b])
+            b += 1
+        yield from enc.many(texts[a:b])
+        a = b
 
 
 def _encoder(tokenizer: str, ranks: str | None) -> Encoder:
@@ -105,8 +149,8 @@ def _tokenize(capacity: int, tokenizer: str, ranks: str | None):
         size = 4 * capacity
         for batch in batches:
             n, whole, full, left, crc = [], [], [], [], []
-            for text in batch.column("text"):
-                ids = enc.ids(text.as_py()) + _END
+            for ids in _encoded(enc, batch.column("text").to_pylist()):
+                ids += _END
                 cut = len(ids) // size * size
                 n.append(len(ids) // 4)
                 whole.append(zlib.crc32(ids))
