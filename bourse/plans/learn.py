@@ -85,13 +85,14 @@ def row_positions(df: DataFrame, order: list[str]) -> DataFrame:
     counts = sorted(
         (r["_pid"], r["n"]) for r in sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()
     )
-    offsets, acc = {}, 0
+    offsets, acc = [], 0
     for pid, n in counts:
-        offsets[pid] = acc
+        offsets.append((pid, acc))
         acc += n
-    offset = F.element_at(F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))]), F.col("_pid"))
+    # one row per partition: a bounded broadcast
+    table = F.broadcast(df.sparkSession.createDataFrame(offsets, "_pid int, _offset long"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return sorted_df.withColumn("row_idx", (offset + local).cast("long")).drop("_pid", "_mid")
+    return sorted_df.join(table, "_pid").withColumn("row_idx", (F.col("_offset") + local).cast("long")).drop("_pid", "_mid", "_offset")
 
 
 def fold_ids(df: DataFrame, n_splits: int = 3, order: list[str] | None = None) -> DataFrame:
@@ -104,6 +105,8 @@ def fold_ids(df: DataFrame, n_splits: int = 3, order: list[str] | None = None) -
     out = row_positions(df, order)
     n = out.count()
     test_size = n // (n_splits + 1)
+    if not test_size:
+        raise ValueError(f"{n} rows are too few for {n_splits} expanding folds")
     first = n - n_splits * test_size
     k = F.floor((F.col("row_idx") - F.lit(first)) / F.lit(test_size))
     return out.withColumn("test_fold", F.when(F.col("row_idx") >= first, k.cast("int")))

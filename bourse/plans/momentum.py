@@ -53,13 +53,23 @@ def _nz(c):
 
 
 def base_columns(bars: DataFrame) -> DataFrame:
-    """Stage 0: row number and one-bar shape columns."""
+    """Stage 0: row number and one-bar shape columns.
+
+    A recurrence cannot pass over a missing bar.  Leading incomplete bars
+    shift the start (and so every seed row); from the first null inside a
+    series on, its indicators are null (``_whole`` is false)."""
     w = series_window()
     h, l, c, o = (F.col(x) for x in ("high", "low", "close", "open"))
     prev_h, prev_l, prev_c = F.lag("high").over(w), F.lag("low").over(w), F.lag("close").over(w)
-    df = bars.withColumns(
+    # a series starts at its first complete bar; "_whole" ends with the first
+    # null inside it
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    complete = h.isNotNull() & l.isNotNull() & c.isNotNull() & o.isNotNull()
+    df = bars.withColumns({"_row": F.row_number().over(w), "_seen": F.count(F.when(complete, 1)).over(upto)})
+    df = df.withColumn("rn", F.col("_row") - F.min(F.when(complete, F.col("_row"))).over(upto))
+    df = df.withColumns(
         {
-            "rn": F.row_number().over(w) - 1,
+            "_whole": F.coalesce(F.col("_seen") == F.col("rn") + 1, F.lit(False)),
             "_c1": prev_c,
             "_up": h - prev_h,
             "_down": prev_l - l,
@@ -266,7 +276,7 @@ def momentum_daily(bars: DataFrame) -> DataFrame:
     """Ticker, date and the 38 indicator columns, one row per bar."""
     df = window_indicators(base_columns(bars))
     df = scan_indicators(df)
-    return df.select("ticker", "date", *MOMENTUM_COLUMNS)
+    return df.select("ticker", "date", *[F.when(F.col("_whole"), F.col(c)).alias(c) for c in MOMENTUM_COLUMNS])
 
 
 def momentum_monthly(daily: DataFrame) -> DataFrame:

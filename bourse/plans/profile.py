@@ -79,6 +79,8 @@ def histogram_auto(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram over the column's own [min, max]; the two
     bounds are one small aggregate."""
     row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    if row["lo"] is None:  # no values: no bins
+        return histogram(df, col, 0.0, 1.0, bins)
     return histogram(df, col, float(row["lo"]), float(row["hi"]), bins)
 
 

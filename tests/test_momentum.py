@@ -56,3 +56,26 @@ def test_short_series_all_null(spark):
     rows = [("S", d0 + dt.timedelta(days=i), 10.0 + i, 11.0 + i, 9.0 + i, 10.5 + i, 1.0) for i in range(13)]
     out = mom.momentum_daily(spark.createDataFrame(rows, SCHEMA)).collect()
     assert all(r["rsi"] is None and r["adx"] is None and r["trix"] is None for r in out)
+
+
+def _walk(n, start=0):
+    rows, c = [], 100.0
+    for i in range(n):
+        c += ((i * 7919) % 13 - 6) / 4
+        rows.append(["N", dt.date(2021, 1, 1) + dt.timedelta(days=start + i), c - 0.5, c + 1.0, c - 1.5, c, 1.0])
+    return rows
+
+
+def test_leading_null_shifts_the_start_and_a_null_inside_ends_the_series(spark):
+    clean = [r.asDict() for r in mom.momentum_daily(spark.createDataFrame(_walk(120), SCHEMA)).orderBy("date").collect()]
+    late = _walk(120, start=3)
+    lead = [["N", dt.date(2021, 1, 1) + dt.timedelta(days=i), None, None, None, None, None] for i in range(3)]
+    shifted = [r.asDict() for r in mom.momentum_daily(spark.createDataFrame(lead + late, SCHEMA)).orderBy("date").collect()]
+    holed = _walk(120)
+    holed[60][5] = None
+    broken = [r.asDict() for r in mom.momentum_daily(spark.createDataFrame(holed, SCHEMA)).orderBy("date").collect()]
+    for name in ("macd", "rsi", "apo", "roc", "trix", "bop"):  # scans, a simple mean, a lag, one bar
+        assert all(r[name] is None for r in shifted[:3])
+        assert [r[name] for r in shifted[3:]] == [r[name] for r in clean]
+        assert [r[name] for r in broken[:60]] == [r[name] for r in clean[:60]]
+        assert all(r[name] is None for r in broken[60:])
