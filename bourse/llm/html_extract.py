@@ -51,9 +51,12 @@ NOT_TEXT = frozenset("ad ads adv advert adverts advertisement advertising adsens
                      "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar side aside footer foot masthead topbar header "
                      "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup "
                      "login share sharing social related recommended recommendations comment comments respond reply replies disqus discussion "
-                     "pagination pager toolbar widget widgets skip hidden contentinfo complementary search form byline tagcloud".split())
+                     "pagination pager toolbar widget widgets skip hidden contentinfo complementary search form tagcloud".split())
+#: Beginnings and ends of run-together words of the same kind (commentlist, topnav).
+STEMS = tuple("comment sidebar cookie advert adslot adbox adunit banner newsletter breadcrumb subscri recommend sponsor navbar disqus".split())
+ENDINGS = tuple("navigation topnav sidenav sidebar comments banner advert".split())
 #: Of these, the words that mean nothing beside a word of ARTICLE.
-SOFT = frozenset("header side search form byline skip notices hidden".split())
+SOFT = frozenset("header side search form skip notices hidden".split())
 ARTICLE = frozenset("article main story post entry content".split())
 WORDS = re.compile(r"[a-z]+")
 
@@ -68,7 +71,13 @@ class Node:
         self.chars = self.link_chars = 0
 
 
+_SEEN: dict[str, tuple[frozenset, bool]] = {}  # pages repeat their attributes
+
+
 def _words(attrs: str) -> tuple[frozenset, bool]:
+    """(words of class, id and role; hidden) of a tag's attributes."""
+    if attrs in _SEEN:
+        return _SEEN[attrs]
     words, hidden = set(), False
     for name, a, b, c in ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c)
@@ -77,7 +86,10 @@ def _words(attrs: str) -> tuple[frozenset, bool]:
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (
                 name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             hidden = True
-    return frozenset(words), hidden
+    if len(_SEEN) >= 10_000:
+        _SEEN.clear()
+    _SEEN[attrs] = frozenset(words), hidden
+    return _SEEN[attrs]
 
 
 def _is_boilerplate(tag: str, words: frozenset, hidden: bool, parent: Node) -> bool:
@@ -92,7 +104,7 @@ def _is_boilerplate(tag: str, words: frozenset, hidden: bool, parent: Node) -> b
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    marks = words & NOT_TEXT
+    marks = {w for w in words if w in NOT_TEXT or w.startswith(STEMS) or w.endswith(ENDINGS)}
     if words & {"has", "no", "with", "without"}:  # layout classes such as has-sidebar
         marks = marks - {"sidebar", "nav", "menu", "header", "footer", "side", "aside"}
     return bool(marks - SOFT if words & ARTICLE else marks)

@@ -77,6 +77,8 @@ CASES = [
     ("<article><p>text <!-- <p>no --> more</p><style>p{}</style><textarea>no</textarea></article>", "text more"),
     ("<article><p>a &lt;b&gt; &#233; &#x4e00;</p></article>", "a <b> é 一"), ("<p>unclosed <b>bold <i>it</p><p>next</b>", "unclosed bold it\n\nnext"),
     ("<a title='x > y' href=\"q\">t</a><p>z</p>", "t\n\nz"), ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a\n\nb\n\nc"),
+    ("<div id=main><h1>T</h1><p class=byline>By A</p><p>Body, long enough to be prose, here it is.</p></div><ol class=commentlist><li>hm, so, so</ol>"
+     "<div class='topnav'>x</div>", "T\n\nBy A\n\nBody, long enough to be prose, here it is."),
     ("</p></div><<p>odd<", "<\n\nodd<"),
 ]
 
