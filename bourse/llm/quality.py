@@ -49,7 +49,8 @@ REPEAT_PERCENT = 20
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-RULES = ("symbols", "marks", "upper", "dup_lines", "repeats", "sameness", "long_words")
+#: None of these signals depends on the length of a clean text.
+RULES = ("symbols", "marks", "upper", "dup_lines", "repeats")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -79,12 +80,12 @@ def signals(text: str) -> tuple:
     upper = sum(1 for w in words if w.isupper() and len(w) > 1) / each
     return (n, chars, symbols, dup, rep,
             symbols / each, (text.count("!") + text.count("?") + text.count("=") + text.count("_")) / each, upper,
-            dup / max(len(lines), 1), rep / each, 1 - len(set(words)) / each, max(0.0, chars / each - 5) / 10)
+            dup / max(len(lines), 1), rep / each)
 
 
 def _measure(batches):
     for batch in batches:
-        cols = list(zip(*(signals(x.as_py() or "") for x in batch.column("text")))) or [()] * 12
+        cols = list(zip(*(signals(x.as_py() or "") for x in batch.column("text")))) or [()] * (len(COUNTS) + len(RULES))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("stratum"), *(pa.array(c, pa.int64()) for c in cols[:5]),
              *(pa.array(np.minimum(np.floor(np.array(c, float) * 100), STEPS).astype(np.int32)) for c in cols[5:])],
