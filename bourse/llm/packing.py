@@ -42,7 +42,7 @@ CAPACITY = 1024
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 END_ID = 0
-CACHE = 500_000
+CACHE = 200_000
 GROUP = 1 << 20
 ROWS_PER_BUCKET = 200_000
 

@@ -39,6 +39,7 @@ from .text import Words, grams, mix, text_slices, words_of
 
 WINDOW = 35
 BUCKET_BYTES = 2 << 20  # input bytes per fingerprint bucket
+PACK_BYTES = 4 << 20    # text bytes per packed set of fingerprint rows
 
 
 def _buckets(docs: DataFrame) -> int:
@@ -89,7 +90,7 @@ def _digests(batches):
 def _fingerprints(block: int, n_buckets: int):
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=PACK_BYTES):
                 ids = np.asarray(part.column("doc_id"), dtype=np.int64)
                 w = words_of(part.column("text"))
                 h, d = grams(w, block)

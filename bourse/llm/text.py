@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE = 4 << 20
+SLICE = 1 << 20
 SLICE_ROWS = 1 << 15
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -49,6 +49,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE)
         b = min(max(b, a + 1), a + SLICE_ROWS, batch.num_rows)
         yield batch.slice(a, b - a)
         a = b
+    pa.default_memory_pool().release_unused()
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
