@@ -4,6 +4,11 @@ Pages are grouped by host.  For each line with a word, the share of the
 host's pages that contain it is its boilerplate ratio; lines above ``RATIO``
 on at least ``MIN_PAGES`` pages are dropped from that host's pages.
 
+A page is a row, as in the SQL form.  Given the ``copies`` of ``copies_of``, a
+page is a distinct content instead: the rows of a near-duplicate group
+(operator 7) count once per host, for a line as for the host, and so do all
+rows without a word.  A text is then no boilerplate for being copied.
+
 Lines travel as 128-bit hashes: one row per page and distinct line, summed
 per (host, line) before the shuffle.  Only pages that lose a line are joined
 with the set of their dropped hashes; a line that stands on a third of all
@@ -22,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from . import minhash
+from .store import join_ids, written
 
 RATIO = 0.02
 MIN_PAGES = 5
@@ -32,23 +38,43 @@ def _has_word(line: Column) -> Column:
     return line.rlike(r"[^\x20\x09-\x0D]")
 
 
-def boilerplate_lines(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> tuple[DataFrame, DataFrame]:
+def _row_id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+
+
+def copies_of(docs: DataFrame) -> DataFrame:
+    """(id, content) of the rows that are copies or near copies of another:
+    ``content`` is the smallest id of their group.  Rows without a doc_id have
+    an id by their text."""
+    near = minhash.near_duplicates(docs.select(_row_id().alias("doc_id"), "text"))
+    return written(near.where(~F.col("kept")).groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("content")), "copies")
+
+
+def boilerplate_lines(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                      copies: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(lines, dropped): one row (doc_id, host, line) per page and distinct
     line hash, and (host, line, pages, host_pages) of the dropped lines."""
     pages = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(host).cast("string"), F.lit("\0")).alias("host"),
-                        F.array_distinct(F.filter(F.split("text", "\n", -1), _has_word)).alias("lines"))
-    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    lines = pages.select("doc_id", "host", F.explode("lines").alias("line")).withColumn("line", F.unhex(F.md5("line")))
-    often = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
+                        F.array_distinct(F.filter(F.split("text", "\n", -1), _has_word)).alias("lines"), _row_id().alias("id"))
+    if copies is None:
+        pages, count, host_count = pages.drop("id"), F.count(F.lit(1)), F.count(F.lit(1))
+    else:
+        pages = join_ids(pages, copies, "id", copies.count(), "left").withColumn("content", F.coalesce("content", "id"))
+        inked = F.size("lines") > 0  # false for null text as well
+        count = F.count_distinct("content")
+        host_count = F.count_distinct(F.when(inked, F.col("content"))) + F.max(F.when(inked, 0).otherwise(1))
+    hosts = pages.groupBy("host").agg(host_count.alias("host_pages"))
+    lines = pages.withColumn("line", F.explode("lines")).drop("lines", "id").withColumn("line", F.unhex(F.md5("line")))
+    often = lines.groupBy("host", "line").agg(count.alias("pages")).where(F.col("pages") >= min_pages)
     dropped = often.join(hosts, "host").where(F.col("pages") > ratio * F.col("host_pages"))
-    return lines, written(dropped, "dropped-lines")
+    return lines.select("doc_id", "host", "line"), written(dropped, "dropped-lines")
 
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     count_as: str | None = None) -> DataFrame:
+                     count_as: str | None = None, copies: DataFrame | None = None) -> DataFrame:
     """``docs`` without its boilerplate lines; ``count_as`` names a column
     for the number of lines dropped from each row."""
-    lines, dropped = boilerplate_lines(docs, host, ratio, min_pages)
+    lines, dropped = boilerplate_lines(docs, host, ratio, min_pages, copies)
     n = dropped.count()
     keys = dropped.select("host", "line")
     hits = lines.join(F.broadcast(keys) if n <= 200_000 else keys, ["host", "line"], "left_semi")

@@ -97,6 +97,34 @@ def test_lines_of_nothing(no_docs):
     assert line_dedup.drop_boilerplate(no_docs).collect() == []
 
 
+def test_copies_are_no_boilerplate(spark):
+    """A copy group and a near-copy group above the ratio keep their text
+    through line dedup and near-dedup; a line of distinct pages still goes."""
+    import corpus_pipeline
+
+    rnd = random.Random(5)
+    body = lambda: "\n".join(" ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(25)) for _ in range(4))
+    texts = [body() + ("\nread more of this" if i < 40 else "") for i in range(300)]
+    copied, near = body(), body()
+    texts += [copied] * 30
+    for i in range(30):  # another word is changed in each
+        w = near.split(" ")
+        w[3 * i + 1] = f"changed{i}"
+        texts.append(" ".join(w))
+    rows = [(i, t, "s", len(t)) for i, t in enumerate(texts)] + [(None, copied, "s", len(copied))] * 9 + [(990 + i, None, "s", None) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    lines = corpus_pipeline.line_dedup_by_source(spark, docs, "")
+    got = collections.defaultdict(list)
+    for r in lines.collect():
+        got[r.doc_id].append(r.text)
+    for i, t in enumerate(texts):
+        assert got[i] == [t.removesuffix("\nread more of this")]
+    assert got[None] == [copied] * 9 and got[990] == [None]
+    left = {r.doc_id: r.text for r in corpus_pipeline.near_dedup(spark, lines, "").where("doc_id < 990").collect()}
+    assert set(left) == set(range(300)) | {300, 330}
+    assert left[300] == copied and left[330] == texts[330]
+
+
 def test_mixing_meets_targets(spark, docs):
     targets = {
         "source": spark.createDataFrame([("a", 0.5), ("b", 0.3), ("\0", 0.2), ("absent", 9.0)], "value string, share double").where("value <> 'absent'"),
