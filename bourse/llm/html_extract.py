@@ -4,7 +4,9 @@ A page is read into a tree (tags, implied ends, raw-text elements).  Every
 paragraph passes points for its length and its commas to its parent, half of
 them to the grandparent, a third to the next ancestor and so on; a container's
 score is discounted by its link density.  The best container is kept, together with
-its siblings that score enough or are prose by themselves.  Inside, elements that
+its siblings that score enough or are prose by themselves.  An <article> or
+<main> around the best container takes its place; beside it the headings
+directly before it stay too, with the paragraphs between.  Inside, elements that
 are no article text by their kind or by the words of their class, id or role
 (menus, headers, footers, sidebars, notices, adverts, forms, comments) are
 left out.
@@ -259,6 +261,21 @@ def blocks(top: Node) -> list[tuple[Node, str, int]]:
     return out
 
 
+def _title(beside: list[Node], best: Node) -> set[int]:
+    """The headings directly before ``best`` and the paragraphs after them."""
+    out: set[int] = set()
+    run: list[Node] = []
+    for s in reversed(beside[:next(i for i, s in enumerate(beside) if s is best)]):
+        if s.tag in HEADINGS or s.tag in ("header", "hgroup"):
+            out.update(id(x) for x in [*run, s])
+            run = []
+        elif s.tag == "p" and s.link_chars * 4 <= s.chars:
+            run.append(s)
+        elif s.tag not in VOID:
+            break
+    return out
+
+
 def extract(page: str | None) -> str:
     """The main text of a page."""
     if not page:
@@ -302,13 +319,12 @@ def extract(page: str | None) -> str:
             break
         at = at.parent
     keep = {id(best)}
-    if best.parent is not None and best.tag not in ("article", "main"):
+    if best.parent is not None:
         need = max(3.0, best.score * 0.2)
-        for s in best.parent.kids:
-            if isinstance(s, str) or s is best or s.skip:
-                continue
-            if s.score * (1 - s.link_chars / max(s.chars, 1)) >= need or prose.get(id(s), 0.0) >= 1.5 or (
-                    s.tag in HEADINGS and id(best) in keep):
+        beside = [s for s in best.parent.kids if not isinstance(s, str) and (s is best or not s.skip)]
+        title = _title(beside, best) if best.tag in ("article", "main") else {id(s) for s in beside if s.tag in HEADINGS}
+        for s in beside:
+            if s.score * (1 - s.link_chars / max(s.chars, 1)) >= need or prose.get(id(s), 0.0) >= 1.5 or id(s) in title:
                 keep.add(id(s))
     out = []
     for owner, text, _ in found:

@@ -88,6 +88,21 @@ def test_main_text(page, text):
     assert html_extract.extract(page) == text
 
 
+PROSE = "A sentence of the article, long enough to count, and with commas, as prose has them."
+BESIDE = [
+    (f"<main><h1>Title</h1><p>lead paragraph</p><article><p>{PROSE}</p></article></main>", f"Title\n\nlead paragraph\n\n{PROSE}"),
+    (f"<main><p>1 {PROSE}</p><article><p>2 {PROSE}</p><p>3 {PROSE}</p></article></main>", f"1 {PROSE}\n\n2 {PROSE}\n\n3 {PROSE}"),
+    (f"<body><article><p>1 {PROSE}</p><p>2 {PROSE}</p></article><article><p>3 {PROSE}</p></article><footer>f</footer></body>",
+     f"1 {PROSE}\n\n2 {PROSE}\n\n3 {PROSE}"),
+    (f"<main><div><a href=a>{PROSE}</a></div><article><p>{PROSE}</p></article><h2>More</h2><ul><li><a href=b>{PROSE}</a></ul></main>", PROSE),
+]
+
+
+@pytest.mark.parametrize("page,text", BESIDE)
+def test_beside_the_article(page, text):
+    assert html_extract.extract(page) == text
+
+
 def test_main_text_query(spark):
     rows = [(i, None if i % 2 else "u", p) for i, (p, _) in enumerate(CASES)]
     got = {r.page_id: r for r in html_extract.main_text(spark.createDataFrame(rows, PAGES).selectExpr("*", "'x' AS text")).collect()}
