@@ -28,14 +28,15 @@ rows; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import written
-from .text import mix, text_slices
+from .text import buffers, mix, text_slices
 
 LONGEST = 4
 OVERLAP = LONGEST - 1
@@ -46,6 +47,7 @@ SCALE = 2_000_000
 COVER_PERCENT = 80
 SALT = 32
 SLICE = 2 << 20
+SHORT = 48                  # bytes up to which words are hashed side by side
 SEGMENT = 1 << 16           # bytes of one piece of the filter
 FILTER_BITS = 1 << 27       # 16 MB
 NO_LANG = "und"
@@ -57,6 +59,12 @@ _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = _CUT
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
+def ended(strings: pa.Array, mark: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a string array with ``mark`` after each."""
+    raw, off = buffers(strings)
+    return np.insert(raw, off[1:], np.uint8(mark)), off + np.arange(len(off))
+
+
 def _bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets from 0) of a large_binary array without nulls."""
     _, off, data = strings.buffers()
@@ -94,7 +102,9 @@ class Line:
         raw, off = _bytes_of(self.distinct.cast(pa.large_binary()))
         h = np.full(len(self.distinct), _PRIME)
         size, at = off[1:] - off[:-1], off[:-1].copy()
-        live = np.arange(len(size))
+        live = np.flatnonzero(size <= SHORT)
+        for i in np.flatnonzero(size > SHORT):
+            h[i] = int.from_bytes(hashlib.blake2b(raw[off[i]:off[i + 1]].tobytes(), digest_size=8).digest(), "little")
         while len(live):  # one byte of every word that has one
             live = live[at[live] < off[live + 1]]
             h[live] = (h[live] ^ raw[at[live]]) * np.uint64(0x100000001B3)
@@ -116,9 +126,8 @@ def windows(h: np.ndarray, n: int) -> np.ndarray:
 
 def _normalised(texts: pa.Array) -> tuple[Line, np.ndarray, np.ndarray]:
     """(line, piece, document) of all words of a text column."""
-    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_utf8()), ""))
-    ended = pc.binary_join_element_wise(texts, pa.scalar("\n", pa.large_utf8()), pa.scalar("", pa.large_utf8()))
-    data, off = _bytes_of(ended.cast(pa.large_binary()))
+    data, off = ended(texts, 0x0A)
+    data = data + (((data >= 65) & (data <= 90)).astype(np.uint8) << np.uint8(5))
     kind = _KIND[data]
     ink = kind == 0
     start = np.flatnonzero(ink & ~np.concatenate([[False], ink[:-1]])) if len(ink) else np.zeros(0, np.int64)
@@ -152,7 +161,7 @@ def parse(texts: pa.Array, langs: pa.Array, trigger: int = TRIGGER) -> pa.Table:
     last[:-1] = own[begin[1:]] != own[begin[:-1]]
     finish = np.where(last, stop[own[begin]], np.append(begin[1:], 0) + OVERLAP) - 1
     chunks = _spans(line.data, line.start[begin], line.end[finish])
-    table = pa.table({"lang": langs.cast(pa.large_utf8()).take(pa.array(doc[begin])).dictionary_encode(), "last": pa.array(last),
+    table = pa.table({"lang": langs.take(pa.array(doc[begin])).dictionary_encode(), "last": pa.array(last),
                       "chunk": chunks.dictionary_encode(), "n": pa.array(np.ones(len(begin), np.int64))})
     return table.group_by(["lang", "last", "chunk"]).aggregate([("n", "sum")])
 
@@ -175,8 +184,7 @@ def _parse_all(trigger: int):
 
 def _lines(chunks: pa.Array) -> tuple[Line, np.ndarray]:
     """The words of chunks, and the chunk of each word."""
-    ended = pc.binary_join_element_wise(chunks.cast(pa.large_utf8()), pa.scalar(" ", pa.large_utf8()), pa.scalar("", pa.large_utf8()))
-    data, off = _bytes_of(ended.cast(pa.large_binary()))
+    data, off = ended(chunks, 0x20)
     end = np.flatnonzero(data == 0x20)
     start = np.concatenate([[0], end[:-1] + 1]) if len(end) else end
     return Line(data, start, end), np.searchsorted(off, start, "right") - 1
@@ -200,7 +208,7 @@ def _seeded(h: np.ndarray, lang: np.ndarray) -> np.ndarray:
 
 
 def _lang_hash(langs: pa.Array) -> np.ndarray:
-    found = langs.cast(pa.large_utf8()).dictionary_encode()
+    found = langs.dictionary_encode()
     names = [int.from_bytes(x.encode()[:64], "little") * 0x9E3779B97F4A7C15 + len(x) & (1 << 64) - 1 for x in found.dictionary.to_pylist()]
     return mix(np.array(names, np.uint64))[np.asarray(found.indices)] if len(langs) else np.zeros(0, np.uint64)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, line_dedup, lm_score, minhash, mixing, packing, quality, substring, warc
+from . import ann, collocation, html_extract, line_dedup, lm_score, minhash, mixing, packing, quality, substring, token_files, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,8 +60,21 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 _QUERIES: list[Query] = [op1_mixed_sources, op2_packed_sequences, op3_lattice_score, op4_nearest_neighbours, op5_warc_round_trip, op6_boilerplate_lines,
-                         op7_near_duplicates, op8_repeated_passages, op9_quality_rules, op10_main_text]
+                         op7_near_duplicates, op8_repeated_passages, op9_quality_rules, op10_main_text, op11_token_files, op12_collocations,
+                         op13_whitened_embeddings]
 
 
 def queries() -> dict[str, Query]:
@@ -71,4 +84,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixed_sources": mixing.oracle_sql(), "op6_boilerplate_lines": line_dedup.oracle_sql()}
+    return {"op1_mixed_sources": mixing.oracle_sql(), "op6_boilerplate_lines": line_dedup.oracle_sql(),
+            "op12_collocations": collocation.oracle_sql()}

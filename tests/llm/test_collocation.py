@@ -75,6 +75,23 @@ def test_awkward_documents(spark, docs, rows):
     assert sorted(map(tuple, got)) == brute(rows, 5, 2000)
 
 
+def test_slices_of_one_batch(spark, monkeypatch):
+    """A batch is worked on in slices; each must give its own texts."""
+    rows = corpus(11, 300)
+    batch = pa.RecordBatch.from_arrays([pa.array([r[2] or "und" for r in rows]), pa.array([r[1] or "" for r in rows])], names=["lang", "text"])
+
+    def counted():
+        c = collections.Counter()
+        for part in collocation._parse_all(4)([batch]):
+            for r in part.to_pylist():
+                c[r["lang"], r["last"], r["chunk"]] += r["n"]
+        return c
+
+    whole = counted()
+    monkeypatch.setattr(collocation, "SLICE", 700)
+    assert counted() == whole
+
+
 def test_empty_and_wordless(spark, no_docs):
     out = collocation.collocations(no_docs)
     assert out.collect() == [] and out.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]

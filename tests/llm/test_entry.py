@@ -10,12 +10,12 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_has_one_query():
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op1_mixed_sources", "op6_boilerplate_lines"])
+@pytest.mark.parametrize("name", ["op1_mixed_sources", "op6_boilerplate_lines", "op12_collocations"])
 def test_sql_twin(spark, name):
     from tests.oracle_check import compare, duck
 
