@@ -278,10 +278,11 @@ def temporal_split(df: DataFrame, train: float = 0.7, validation: float = 0.15,
     )
 
 
-def preprocess(df: DataFrame) -> DataFrame:
+def preprocess(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Impute (raising on what is left), cyclical month, one-hot, label,
     temporal split, drop.  The filled table is materialised once; the null
-    check, the levels, the date bounds and the result read that."""
+    check, the levels, the date bounds and the result read that.  Columns in
+    ``keep`` stay (the date that orders training rows)."""
     df = materialize(fill(df))
     remaining = columns_with_nulls(df)
     if remaining:
@@ -290,7 +291,7 @@ def preprocess(df: DataFrame) -> DataFrame:
     df = one_hot(df)
     df = df.withColumn(LABEL, growth_label("target", "close", GROWTH_THRESHOLD))
     df = temporal_split(df)
-    return df.drop(*[c for c in DROP_VARIABLES if c in df.columns])
+    return df.drop(*[c for c in DROP_VARIABLES if c in df.columns and c not in keep])
 
 
 def features(df: DataFrame, label: str = LABEL, split: str = "split", sparse=("ticker_index",)) -> DataFrame:

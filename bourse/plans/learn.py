@@ -1,21 +1,22 @@
-"""Model training and selection (L01-L10) with pyspark.ml.
+"""Training rows, scaling, folds and the tree models
+with pyspark.ml; ``selection`` compares and tunes the families.
 
-Input: ``(id, features array<float|double>, label int, split string)``.
-Scaling statistics are one aggregation per feature position; fitting and
-scoring are distributed pyspark.ml jobs.  The driver only loops over the
-(small, fixed) parameter grid and folds -- orchestration, not data.
+Input: ``(id, features array<float|double>, label int, split string)``, or a
+preprocessed table through ``assemble``.  Scaling statistics are one
+aggregation per feature position; fitting and scoring are distributed
+pyspark.ml jobs.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import evaluate as ev
-
 SEED = 24
 TRAIN_SPLITS = ("train", "validation")
 TEST_SPLITS = ("test",)
@@ -66,10 +67,10 @@ def random_forest(n_trees: int = 100, max_depth: int = 5, min_split: int = 2) ->
 
 
 def predict(model, df: DataFrame) -> DataFrame:
-    """Class and class-1 probability."""
+    """Class and class-1 probability (0 if no training row was of it)."""
     out = model.transform(df)
     return out.select("id", "label", F.col("prediction").cast("int").alias("prediction"),
-                      vector_to_array("probability")[1].alias("probability"))
+                      F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0)).alias("probability"))
 
 
 def row_positions(df: DataFrame, order: list[str]) -> DataFrame:
@@ -112,60 +113,85 @@ def fold_ids(df: DataFrame, n_splits: int = 3, order: list[str] | None = None) -
     return out.withColumn("test_fold", F.when(F.col("row_idx") >= first, k.cast("int")))
 
 
-def cv_precision(estimator, folded: DataFrame, n_splits: int = 3) -> float:
-    """Mean class-1 precision over expanding-window folds (the selection
-    score of L06)."""
-    scores = []
-    for f in range(n_splits):
-        train = folded.where((F.col("test_fold") < f) | F.col("test_fold").isNull())
-        test = folded.where(F.col("test_fold") == f)
-        model = estimator.fit(train)
-        pred = model.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
-        c = ev.confusion_counts(pred).first()
-        scores.append(c["tp"] / (c["tp"] + c["fp"]) if (c["tp"] + c["fp"]) else 0.0)
-    return sum(scores) / len(scores)
-
-
-def grids():
-    """L06 grids (DT 12, RF 18 points); KNN's 16 points are not built."""
-    dt, rf = decision_tree(), random_forest()
-    dt_grid = (ParamGridBuilder().addGrid(dt.maxDepth, [3, 5, 10, MAX_DEPTH_NONE])
-               .addGrid(dt.minInstancesPerNode, [1, 2, 5]).build())
-    rf_grid = (ParamGridBuilder().addGrid(rf.numTrees, [50, 100, 200])
-               .addGrid(rf.maxDepth, [5, 10, MAX_DEPTH_NONE])
-               .addGrid(rf.minInstancesPerNode, [1, 2]).build())
-    return [("DecisionTree", dt, dt_grid), ("RandomForest", rf, rf_grid)]
-
-
-def tune_and_select(train: DataFrame, test: DataFrame, n_splits: int = 3) -> DataFrame:
-    """L06 + L08: grid search on expanding folds, refit the best point per
-    family on all training rows, score on test, pick the family with the
-    best test precision (the reference's selection leak, kept)."""
-    folded = fold_ids(train, n_splits).cache()
-    rows = []
-    for order, (name, est, grid) in enumerate(grids()):
-        best = max(grid, key=lambda pm: cv_precision(est.copy(pm), folded, n_splits))
-        model = est.copy(best).fit(train)
-        pred = predict(model, test)
-        h = ev.headline(pred).first()
-        params = {p.name: v for p, v in best.items()}
-        rows.append((name, order, float(h["precision_1"]), float(h["accuracy"]), str(params)))
-    folded.unpersist()
-    metrics = train.sparkSession.createDataFrame(
-        rows, "model string, model_order int, metric double, accuracy double, params string"
-    )
-    return ev.best_model(metrics)
-
-
-def default_models_report(train: DataFrame, test: DataFrame) -> DataFrame:
-    """Default models scored side by side -- their confusion matrices
-    stacked with a model column."""
-    out = []
-    for name, est in (("DecisionTree", decision_tree()), ("RandomForest", random_forest())):
-        pred = predict(est.fit(train), test)
-        out.append(ev.confusion_matrix(pred).withColumn("model", F.lit(name)))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
-
+class LayoutError(ValueError):
+    """A table whose columns are not those a model was fitted on."""
+
+
+class Layout(NamedTuple):
+    """What a model reads: dense columns in order, and the level column (one
+    categorical feature by its number) with its number of levels."""
+
+    columns: list[str]
+    level: str | None
+    levels: int
+
+    def check(self, other: Layout) -> None:
+        if self.columns != other.columns or self.level != other.level:
+            gone, new = [c for c in self.columns if c not in other.columns], [c for c in other.columns if c not in self.columns]
+            raise LayoutError(f"not the layout of the model: missing {gone}, new {new}, level {other.level!r} for {self.level!r}, or another order")
+        if other.levels > self.levels:
+            raise LayoutError(f"{self.level} has {other.levels} levels, the model knows {self.levels}")
+
+    def width(self) -> int:
+        return len(self.columns) + max(self.levels - 1, 0)
+
+    def value(self, feature: Column) -> Column:
+        """The value of a feature number (see ``with_vectors``) in a row."""
+        dense = F.get("features", feature)
+        if self.levels < 2:
+            return dense
+        return F.when(feature < len(self.columns), dense).otherwise(
+            (feature - len(self.columns) == F.lit(self.levels - 1) - F.col("level")).cast("double"))
+
+
+NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
+
+
+def assemble(df: DataFrame, label: str, order: list[str], split: str = "split", level: str | None = "ticker_index") -> tuple[DataFrame, Layout]:
+    """(id, features array<double>, level, label, split) of a
+    preprocessed table, and its layout.  ``id`` is the row's position in
+    ``order``, whose columns are no features unless numeric; ``level`` is the
+    number of a categorical column without a bound on its levels."""
+    level = level if level in df.columns else None
+    cols = [c for c, t in df.dtypes if (t in NUMERIC or t.startswith("decimal")) and c not in (label, split, level)]
+    levels = (df.agg(F.max(level)).first()[0] or 0) + 1 if level else 0
+    at = row_positions(df, order)
+    out = at.select(F.col("row_idx").alias("id"), F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("features"),
+                    (F.col(level).cast("int") if level else F.lit(0)).alias("level"), F.col(label).cast("int").alias("label"), F.col(split).alias("split"))
+    return out, Layout(cols, level, int(levels))
+
+
+def level_weights(train: DataFrame) -> DataFrame:
+    """(level, weight): the scale 1 / std of each level's indicator over the
+    training rows; level 0 has no indicator.  One row per level."""
+    n = train.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))
+    std = F.sqrt(share * (1 - share))
+    return n.select("level", F.when(F.col("level") == 0, 0.0).when(std > 1e-15, 1 / std).otherwise(1.0).alias("weight"))
+
+
+def with_vectors(df: DataFrame, layout: Layout) -> DataFrame:
+    """Adds ``fv``: the dense features, then the indicators of the levels
+    1..n-1 (the highest first) as a sparse block of the same vector."""
+    df = as_vectors(df)
+    if layout.levels < 2:
+        return df
+    top = layout.levels - 1
+    one = df.sparkSession.range(top, top + 1).select(F.col("id").cast("int").alias("_turned"))
+    coder = OneHotEncoder(inputCol="_turned", outputCol="_hot").fit(one)  # knows top + 1 levels, drops the last
+    hot = coder.transform(df.withColumn("_turned", F.lit(top) - F.col("level")))
+    both = VectorAssembler(inputCols=["fv", "_hot"], outputCol="_both").transform(hot).drop("fv", "_hot", "_turned")
+    # without the encoder's metadata, indicators split by a threshold as well
+    return both.withColumn("fv", F.col("_both").alias("fv", metadata={})).drop("_both")
+
+
+def training_sets(rows: DataFrame, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    """L01 + L02 on assembled rows: (train, test) with features scaled by the
+    training rows, the level's weight and the vector ``fv``."""
+    train, _ = split_sets(rows)
+    scaled = standardize(rows, scaling_stats(train))
+    if layout.levels > 1:
+        scaled = scaled.join(level_weights(train), "level", "left").withColumn("weight", F.coalesce("weight", F.when(F.col("level") == 0, 0.0).otherwise(1.0)))
+    else:
+        scaled = scaled.withColumn("weight", F.lit(0.0))
+    return split_sets(with_vectors(scaled, layout))

@@ -811,7 +811,7 @@ def _f03(spark, d):
     return _round_doubles(fu.statement_ratios(fu.latest_items(src.statements(spark, d), fu.FIXTURE_ITEMS)))
 
 
-# ---------------------------------------------------------------- L01, L02, L07, L03/L04/L09/L10, L06
+# ---------------------------------------------------------------- L01, L02, L07
 
 _VEC = {"vectors": fx.VECTORS}
 
@@ -858,38 +858,7 @@ def _l07(spark, d):
     return ln.fold_ids(train.select("id"), 3).select("id", "row_idx", "test_fold")
 
 
-def _scaled_sets(spark, d):
-    v = src.vectors(spark, d)
-    train, test = ln.split_sets(v)
-    stats = ln.scaling_stats(train)
-    return ln.as_vectors(ln.standardize(train, stats)), ln.as_vectors(ln.standardize(test, stats))
-
-
-@register("L03_decision_tree")
-def _l03(spark, d):
-    train, test = _scaled_sets(spark, d)
-    return ln.predict(ln.decision_tree().fit(train), test)
-
-
-@register("L04_L09_random_forest")
-def _l04(spark, d):
-    train, test = _scaled_sets(spark, d)
-    return ln.predict(ln.random_forest().fit(train), test)
-
-
-@register("L10_default_models_report")
-def _l10(spark, d):
-    train, test = _scaled_sets(spark, d)
-    return ln.default_models_report(train, test)
-
-
-@register("L06_C10_tune_and_select")
-def _l06(spark, d):
-    train, test = _scaled_sets(spark, d)
-    return ln.tune_and_select(train, test)
-
-
-# ---------------------------------------------------------------- S01, S12-S15
+# ---------------------------------------------------------------- S01, S12, S13
 
 from .sources import io as sio  # noqa: E402
 
@@ -921,24 +890,6 @@ def _s13(spark, d):
     return spark.read.parquet(path).select(*price.PRICE_COLUMNS)
 
 
-@register("S14_report_sink")
-def _s14(spark, d):
-    path = sio.write_report(_report(spark, d), "FixturePredictions", {"source": "labels"},
-                            sio.scratch_path(spark, "report"))
-    doc = spark.read.json(path)
-    return doc.select("model_name", F.explode("classification_report").alias("r")).select("model_name", "r.*")
-
-
-@register("S15_model_sink_and_load")
-def _s15(spark, d):
-    from pyspark.ml.classification import RandomForestClassificationModel
-
-    train, test = _scaled_sets(spark, d)
-    model = ln.random_forest().fit(train)
-    path = sio.save_model(model, sio.scratch_path(spark, "models"), "RandomForest")
-    return ln.predict(RandomForestClassificationModel.load(path), test)
-
-
 # ---------------------------------------------------------------- step-level aliases
 
 _MONTHLY_COLS = ["return_1m", "return_2m", "return_3m", "vol_3m", "momentum_3m", "mma_3_scaled", "mma_6_scaled"]

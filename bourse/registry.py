@@ -60,7 +60,7 @@ def _load() -> None:
     if _LOADED:
         return
     _LOADED = True
-    from . import queries_catalog  # noqa: F401  (registers everything)
+    from . import queries_catalog, queries_learning  # noqa: F401  (register everything)
 
 
 # ---------------------------------------------------------------- sources

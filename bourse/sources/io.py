@@ -1,4 +1,4 @@
-"""Scans and sinks.
+"""Scans and sinks (S01, S12, S13); ``artifacts`` holds S14 and S15.
 
 Reads take an explicit schema (no inference pass over the data); filters on
 the scan are plain column predicates so Catalyst pushes them into the
@@ -9,7 +9,6 @@ machine-local temp folder).
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 import uuid
 
@@ -63,31 +62,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def write_report(report: DataFrame, model_name: str, params: dict, path: str) -> str:
-    """One JSON document -- model name, params, and the report rows
-    nested as an array of structs (one small aggregation)."""
-    spark = report.sparkSession
-    doc = report.agg(F.collect_list(F.struct(*report.columns)).alias("classification_report"))
-    doc = doc.select(
-        F.lit(model_name).alias("model_name"),
-        F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]).alias("best_params")
-        if params else F.create_map().cast("map<string,string>").alias("best_params"),
-        "classification_report",
-    )
-    doc.coalesce(1).write.mode("overwrite").json(path)
-    _ = spark
-    return path
-
-
-def model_path(folder: str, model_name: str, day: dt.date | None = None) -> str:
-    """Date-stamped artifact name."""
-    day = day or dt.date.today()
-    return os.path.join(folder, f"model_{model_name.lower()}_trainingDate_{day:%Y%m%d}")
-
-
-def save_model(model, folder: str, model_name: str, day: dt.date | None = None) -> str:
-    path = model_path(folder, model_name, day)
-    model.write().overwrite().save(path)
-    return path

@@ -57,10 +57,16 @@ def test_group_fill_leaves_null_keys(spark):
 
 
 def test_one_hot_drops_first_sorted_level(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("c",), (None,)], "ticker string")
-    out = ds.one_hot(df, ["ticker"])
-    assert sorted(out.columns) == ["ticker_b", "ticker_c"]
-    assert sorted(tuple(r) for r in out.collect()) == [(0, 0), (0, 0), (0, 1), (1, 0)]
+    df = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", "x"), (None, None)], "ticker string, sector string")
+    out = ds.one_hot(df, ["ticker", "sector"])
+    assert sorted(out.columns) == ["sector_y", "ticker_index"]
+    # levels are numbered in sorted order, a null has no number and no indicator
+    assert sorted(map(tuple, out.select("ticker_index", "sector_y").fillna(-1).collect())) == [(-1, 0), (0, 1), (1, 0), (2, 0)]
+    dense = ds.one_hot(df, ["ticker"], sparse=())
+    assert sorted(dense.columns) == ["sector", "ticker_b", "ticker_c"]
+    assert sorted(tuple(r) for r in dense.select("ticker_b", "ticker_c").collect()) == [(0, 0), (0, 0), (0, 1), (1, 0)]
+    with pytest.raises(ds.LevelLimitError):
+        ds.one_hot(df, ["ticker"], sparse=(), max_levels=2)
 
 
 def test_cardinality_check_raises(spark):
