@@ -62,6 +62,25 @@ def left_join_many_to_one(left: DataFrame, right: DataFrame, keys: list[str], va
     return left.join(F.broadcast(right) if broadcast else right, keys, "left")
 
 
+def checked_right_sides(tables: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, int]:
+    """J05 for several joins at once: {name: rows} of right sides (table,
+    keys).  Their keys are stacked and counted by one aggregate; a key that
+    repeats raises ``CardinalityError`` with the names of its tables."""
+    if not tables:
+        return {}
+    names = sorted({k for _, keys in tables.values() for k in keys})
+    stacked = None
+    for name, (df, keys) in tables.items():
+        part = df.select(F.lit(name).alias("_table"), *[(F.col(k).cast("string") if k in keys else F.lit(None).cast("string")).alias(k) for k in names])
+        stacked = part if stacked is None else stacked.unionByName(part)
+    seen = {r["_table"]: r for r in stacked.groupBy("_table", *names).count().groupBy("_table").agg(
+        F.sum("count").alias("rows"), F.max("count").alias("most")).collect()}  # one row per table
+    wrong = [f"{name} {tables[name][1]}" for name, r in seen.items() if r["most"] > 1]
+    if wrong:
+        raise CardinalityError(f"not unique on their join keys: {', '.join(sorted(wrong))}")
+    return {name: seen[name]["rows"] if name in seen else 0 for name in tables}
+
+
 def with_target(df: DataFrame, months: int = TARGET_MONTHS) -> DataFrame:
     """W07 + P07: close ``months`` rows ahead within the ticker, rows
     without a target dropped."""
@@ -77,23 +96,23 @@ def full_dataset(price: DataFrame, fundamentals: DataFrame | None, momentum: Dat
     are skipped (the reference skips empty frames).
 
     Every input is read twice (cardinality check, then join), so each is
-    materialised once first; the result is materialised too, since
-    imputation and preprocessing read it several times.
+    materialised once first; one aggregate checks all right sides.  The result
+    is materialised too, since imputation and preprocessing read it several
+    times.
     """
     price, fundamentals, momentum, patterns, macro, market = (
         None if x is None else materialize(x) for x in (price, fundamentals, momentum, patterns, macro, market)
     )
+    # today's fundamentals on every month of the ticker (the reference's
+    # point-in-time leak, kept for parity)
+    sides = {"fundamentals": (fundamentals, ["ticker"]), "momentum": (momentum, ["ticker", "date"]), "patterns": (patterns, ["ticker", "date"]),
+             "macro": (macro, ["date"]), "market": (market, ["date"])}
+    sides = {name: side for name, side in sides.items() if side[0] is not None}
+    rows = checked_right_sides(sides) if validate else {}
     df = price
-    if fundamentals is not None:
-        # today's fundamentals on every month of the ticker (the
-        # reference's point-in-time leak, kept for parity)
-        df = left_join_many_to_one(df, fundamentals, ["ticker"], validate)
-    for right in (momentum, patterns):
-        if right is not None:
-            df = left_join_many_to_one(df, right, ["ticker", "date"], validate)
-    for right in (macro, market):
-        if right is not None:
-            df = left_join_many_to_one(df, right, ["date"], validate, broadcast=True)
+    for name, (right, keys) in sides.items():
+        small = keys == ["date"] and rows.get(name, BROADCAST_ROWS + 1) <= BROADCAST_ROWS
+        df = df.join(F.broadcast(right) if small else right, keys, "left")
     return materialize(with_target(df))
 
 

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.quantiles import group_quantiles
+
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Count and share per value (share = count / total rows; the
@@ -86,13 +88,9 @@ def histogram_auto(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 
 def five_numbers(df: DataFrame, col: str, by: str) -> DataFrame:
     """Min, quartiles, median, max per group (exact, linear
-    interpolation)."""
-    q = F.percentile(F.col(col), F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    return df.groupBy(by).agg(q.alias("q")).select(
-        by,
-        F.col("q")[0].alias("min"), F.col("q")[1].alias("q1"), F.col("q")[2].alias("median"),
-        F.col("q")[3].alias("q3"), F.col("q")[4].alias("max"),
-    )
+    interpolation), by distributed selection."""
+    q = group_quantiles(df, col, by, [0.0, 0.25, 0.5, 0.75, 1.0])
+    return q.select(by, *[F.col("q")[i].alias(n) for i, n in enumerate(("min", "q1", "median", "q3", "max"))])
 
 
 def append_all(frames: list[DataFrame]) -> DataFrame:

@@ -860,6 +860,8 @@ def _l07(spark, d):
 
 # ---------------------------------------------------------------- S01, S12, S13
 
+import uuid  # noqa: E402
+
 from .sources import io as sio  # noqa: E402
 
 
@@ -884,6 +886,33 @@ def _s12(spark, d):
     return sio.read_csv(spark, path, schema)
 
 
+@register("S13_bucketed_bars", price_sql.price_sql())
+def _s13_bucketed(spark, d):
+    """C01 over bars stored in buckets by ticker: no exchange for its windows."""
+    stored = sio.write_bucketed(src.bars(spark, d), f"bars_{uuid.uuid4().hex}", 16)
+    return price.price_features(stored, partitioned=True)
+
+
+_BROKEN = "(o_orderkey % 100 = 3 OR o_orderkey % 100 = 7)"
+
+
+@register("S12_csv_rejected_rows", f"""SELECT CASE WHEN o_orderkey % 100 = 3 THEN 'o_totalprice: not a double' ELSE 'another number of fields' END AS reason,
+  count(*) AS rows, sum(o_orderkey) AS keys FROM orders WHERE {_BROKEN} GROUP BY 1
+UNION ALL SELECT 'read', count(*), sum(o_orderkey) FROM orders WHERE NOT {_BROKEN}""")
+def _s12_rejected(spark, d):
+    """Orders as CSV lines, some of them broken: what is read, what is not and
+    why."""
+    o = src.table(spark, d, "orders")
+    price_ = F.when(F.col("o_orderkey") % 100 == 3, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), price_, "o_orderpriority", F.when(F.col("o_orderkey") % 100 == 7, F.lit("too,many")))
+    path = sio.scratch_path(spark, "orders-csv")
+    o.select(line.alias("value")).write.text(path)
+    rows, rejected = sio.read_csv_rejecting(spark, path, "o_orderkey bigint, o_totalprice double, o_orderpriority string", 0.5, header=False)
+    key = F.split("line", ",")[0].cast("bigint")
+    out = rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"), F.sum(key).alias("keys"))
+    return out.unionByName(rows.agg(F.lit("read").alias("reason"), F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys")))
+
+
 @register("S13_parquet_roundtrip", price_sql.price_sql())
 def _s13(spark, d):
     path = sio.write_table(_price_m(spark, d), sio.scratch_path(spark, "price-parquet"), "parquet", ["year"])

@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.persist import materialize
 from ..session import checkpoint_dir
 
 BARS_SCHEMA = "ticker string, date date, open double, high double, low double, close double, volume double"
@@ -40,9 +41,39 @@ def read_bars_parquet(spark: SparkSession, path: str, tickers=None, start: str =
     return scan_bars(spark.read.schema(BARS_SCHEMA).parquet(path), tickers, start, end)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header and an explicit schema (no inference pass)."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+class RejectedRowsError(ValueError):
+    """Too many rows of a CSV file do not fit its schema."""
+
+
+def read_csv(spark: SparkSession, path: str, schema: str, max_rejected: float = 0.0) -> DataFrame:
+    """CSV with a header and an explicit schema (no inference pass).
+    Rows that do not fit raise ``RejectedRowsError`` above a share of
+    ``max_rejected``; ``read_csv_rejecting`` returns them."""
+    return read_csv_rejecting(spark, path, schema, max_rejected)[0]
+
+
+_LINE = "_rejected_line"
+
+
+def read_csv_rejecting(spark: SparkSession, path: str, schema: str, max_rejected: float = 1.0,
+                       header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected) of a CSV file.  ``rejected`` has the line and the
+    reason: the first column whose text is not of its type, or another number
+    of fields.  One pass counts both; a share of rejected rows above
+    ``max_rejected`` raises."""
+    fields = spark.createDataFrame([], schema).schema
+    read = spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE)
+    rows = materialize(read.schema(f"{schema}, {_LINE} string").csv(path))
+    bad = F.col(_LINE).isNotNull()
+    seen = rows.agg(F.count(F.lit(1)).alias("all"), F.count_if(bad).alias("bad")).first()
+    if seen["bad"] > max_rejected * seen["all"]:
+        raise RejectedRowsError(f"{seen['bad']} of {seen['all']} rows of {path} do not fit the schema")
+    text = ", ".join(f"`{f.name}` string" for f in fields)
+    parsed = F.from_csv(F.col(_LINE), F.lit(text), {"mode": "PERMISSIVE"})
+    wrong = [F.when(parsed[f.name].isNotNull() & parsed[f.name].try_cast(f.dataType).isNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}"))
+             for f in fields]
+    rejected = rows.where(bad).select(F.col(_LINE).alias("line"), F.coalesce(*wrong, F.lit("another number of fields")).alias("reason"))
+    return rows.where(~bad).drop(_LINE), rejected
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
@@ -58,6 +89,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     return path
 
 
+def write_bucketed(df: DataFrame, name: str, buckets: int, path: str | None = None, key: str = "ticker", order: str = "date") -> DataFrame:
+    """A table bucketed by ``key`` and sorted by ``order``, read
+    back with that partitioning: windows and aggregates over ``key`` need no
+    exchange.  ``path`` is a new folder (default: the checkpoint folder)."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, name)
+    # one file per bucket: rows meet by the buckets' own hash before the write
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(order).format("parquet").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder."""
     base = checkpoint_dir(spark)
