@@ -46,7 +46,8 @@ from .text import buffers, text_slices
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE = 300_000
+CACHE = 1_000_000
+SLICE = 3 << 20
 BLOCK = ans.LANES * ans.EVERY * 4
 FILE = 1 << 25              # ids
 PART = 1 << 22              # ids of a partition
@@ -58,47 +59,84 @@ _TAIL_SIZE = struct.calcsize(_TAIL)
 _SEP, _ALNUM, _POINT = 1, 2, 3
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, *range(9, 14)]] = _SEP
-_KIND[[*b"abcdefghijklmnopqrstuvwxyz0123456789"]] = _ALNUM
+_KIND[[*b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"]] = _ALNUM
 _KIND[[*b".,;:!?"]] = _POINT
 
 _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of texts by a word tokenizer: each part is encoded once."""
+    """Ids of texts by a word tokenizer: each part is encoded once.
+
+    A part of Latin letters is one word to the tokenizer, so many of them are
+    encoded as one text and dealt out by the tokens that end a word; other
+    parts are encoded one by one.  Texts with marks of special tokens or with
+    combining characters (which may join a letter before it is lower-cased)
+    go through the tokenizer whole."""
 
     def __init__(self, tokenizer: str):
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_file(public_tokenizers.path(tokenizer))
-        self.width = "<u2" if self.own.get_vocab_size() <= 1 << 16 else "<u4"
+        words = self.own.get_vocab()
+        self.width = "<u2" if max(words.values()) < 1 << 16 else "<u4"
+        self.last = np.zeros(max(words.values()) + 1, bool)
+        self.last[[i for w, i in words.items() if w.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     def raw(self, text: str) -> np.ndarray:
         return np.array(self.own.encode(text, add_special_tokens=False).ids, self.width)
 
+    def _deal(self, names: list[str], ids: np.ndarray, stop: np.ndarray) -> None:
+        cut, raw = (stop * ids.itemsize).tolist(), ids.tobytes()
+        self.known.update(zip(names, map(raw.__getitem__, map(slice, [0, *cut], cut))))
+
+    def _learn(self, names: list[str]) -> None:
+        plain = [x for x in names if x.isalpha() and max(x) < "\u0250" and "\u0130" not in x]
+        for a in range(0, len(plain), 8192):
+            some = plain[a:a + 8192]
+            ids = np.array(self.own.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.width)
+            stop = np.flatnonzero(self.last[ids]) + 1
+            if len(stop) != len(some):
+                raise ValueError("a word of letters is not one word to the tokenizer")
+            self._deal(some, ids, stop)
+        rest = [x for x in names if x not in self.known]
+        for a in range(0, len(rest), 8192):
+            some = rest[a:a + 8192]
+            found = self.own.encode(some, is_pretokenized=True, add_special_tokens=False)
+            size = np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)) if found.ids else np.zeros(len(some), np.int64)
+            self._deal(some, np.array(found.ids, self.width), np.cumsum(size))
+
     def _of(self, names: list[str]) -> list[bytes]:
         if len(self.known) > CACHE:
             self.known.clear()
-        new = [x for x in names if x not in self.known]
-        for a in range(0, len(new), 4096):
-            some = new[a:a + 4096]
-            found = self.own.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, self.width)
-            size = np.bincount(np.array([-1 if w is None else w for w in found.word_ids], np.int64) + 1, minlength=len(some) + 1)[1:]
-            cut = (np.cumsum(size) * ids.itemsize).tolist()
-            raw = ids.tobytes()
-            self.known.update(zip(some, map(raw.__getitem__, map(slice, [0, *cut], cut))))
-        return list(map(self.known.__getitem__, names))
+        found = list(map(self.known.get, names))
+        new = [i for i, x in enumerate(found) if x is None]
+        if new:
+            self._learn([names[i] for i in new])
+            for i in new:
+                found[i] = self.known[names[i]]
+        return found
 
     def many(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with ``end`` after each, their offsets)."""
-        marked = np.asarray(pc.match_substring(texts, "<|").fill_null(False), bool)
+        data, off = buffers(texts)
+        odd = (data == 0xCC) | (data == 0xCD)
+        odd[:-1] |= (data[:-1] == 0x3C) & (data[1:] == 0x7C)  # <|
+        marked = np.zeros(len(texts), bool)
+        marked[np.searchsorted(off, np.flatnonzero(odd), "right") - 1] = True
         apart = {int(i): self.raw(texts[int(i)].as_py()) for i in np.flatnonzero(marked)}
-        data, off = buffers(pc.if_else(pa.array(marked), "", texts))
-        data = data + (((data >= 65) & (data <= 90)).astype(np.uint8) << np.uint8(5))
+        if apart:
+            data, off = buffers(pc.if_else(pa.array(marked), "", texts))
         kind = _KIND[data]
+        # two-byte Latin letters: all after C3 but the signs for times and divided
+        letter = np.zeros(len(data), bool)
+        letter[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        upper = ((data >= 65) & (data <= 90)) | (letter & (data < 0x9F))
+        data = data + (upper.astype(np.uint8) << np.uint8(5))
+        letter[:-1] |= letter[1:]
+        kind[letter] = _ALNUM
         before = np.concatenate([[_SEP], kind[:-1]]).astype(np.uint8)
         before[off[:-1][off[:-1] < len(data)]] = _SEP  # documents touch
         ink = kind != _SEP
@@ -109,7 +147,7 @@ class Encoder:
         at = np.concatenate([[0], np.cumsum(size)])
         parts = pa.Array.from_buffers(pa.large_utf8(), len(start), [None, pa.py_buffer(at), pa.py_buffer(data[ink])]).dictionary_encode()
         code = np.asarray(parts.indices, np.int64)
-        found = self._of(parts.dictionary.to_pylist())
+        found = self._of(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
         length = np.fromiter(map(len, found), np.int64, len(found)) // np.dtype(self.width).itemsize
         flat = np.frombuffer(b"".join(found), self.width)
         first = np.cumsum(length) - length
@@ -134,7 +172,7 @@ def _tokenize(tokenizer: str, end: int):
     def run(batches):
         enc = _encoder(tokenizer)
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, limit=SLICE):
                 ids, off = enc.many(part.column("text"), end)
                 raw, wide = ids.tobytes(), off * ids.itemsize
                 rows = [raw[a:b] for a, b in zip(wide[:-1].tolist(), wide[1:].tolist())]
