@@ -21,7 +21,7 @@ Column vocabulary at offset k (k = 0..4):
 * fr{k}    0.6 * mean range of the 5 before    (far)
 * eq{k}    0.05 * mean range of the 5 before   (equal)
 
-The expressions use only SQL common to Spark and DuckDB.
+The oracle (``sql.patterns``) is written apart from them.
 """
 
 from __future__ import annotations
@@ -326,6 +326,7 @@ HIKKAKE_TRIGGERS = {
     ),
 }
 
+# The output column names.
 PATTERN_COLUMNS = [
     "cdl2crows", "cdl3blackrows", "cdl3inside", "cdl3linestrike", "cdl3outside",
     "cdl3starsinsouth", "cdl3whitesoldiers", "cdlabandonedbaby", "cdladvancedblock",

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..operators.rolling import series_window, trailing
 from ..operators.scan import affine_scans, chunk_of, ema, scan_window, wilder_mean, wilder_sum
 
+# The output column names.
 MOMENTUM_COLUMNS = [
     "adx", "adxr", "apo", "aroon_1", "aroon_2", "aroonosc", "bop", "cci", "cmo", "dx",
     "macd", "macdsignal", "macdhist", "macd_ext", "macdsignal_ext", "macdhist_ext",

@@ -865,17 +865,37 @@ import uuid  # noqa: E402
 from .sources import io as sio  # noqa: E402
 
 
-@register(
-    "S01_bar_scan_range",
-    fx.with_tables(
-        "SELECT * FROM bars WHERE date >= DATE '1996-01-01' AND date < DATE '2000-01-01' "
-        "AND ticker IN (SELECT DISTINCT p_type FROM part)",
-        bars=fx.bars(),
-    ),
-)
+_TOP = {"bars": fx.bars(), **{k: v for k, v in fx.company_tables().items() if k in ("tk", "profile")},
+        "top": "SELECT ticker FROM profile ORDER BY market_cap DESC NULLS LAST, ticker LIMIT 3"}
+
+
+@register("S01_bar_scan_range", fx.with_tables(
+    "SELECT * FROM bars WHERE date >= DATE '1996-01-01' AND date < DATE '2000-01-01' AND ticker IN (SELECT ticker FROM top)", **_TOP))
 def _s01(spark, d):
-    universe = src.table(spark, d, "part").select(F.col("p_type").alias("ticker")).distinct()
-    return sio.scan_bars(src.bars(spark, d), universe, "1996-01-01", "2000-01-01")
+    """Bars of a date range for the three tickers with the largest market cap."""
+    who = src.company_profiles(spark, d).orderBy(F.desc_nulls_last("market_cap"), "ticker").limit(3).select("ticker")
+    return sio.scan_bars(src.bars(spark, d), who, "1996-01-01", "2000-01-01")
+
+
+@register("P01_adjusted_close", fx.with_tables(
+    f"""SELECT ticker, date, close / 2 AS close, {fx.r6('CASE WHEN lag(close) OVER (PARTITION BY ticker ORDER BY date) <> 0 THEN close / lag(close) OVER (PARTITION BY ticker ORDER BY date) - 1 END')}
+  AS daily_growth FROM bars""", bars=fx.bars()))
+def _p01(spark, d):
+    """Daily growth of bars with an adjusted close, which replaces the close."""
+    adjusted = src.bars(spark, d).withColumns({"adj_close": F.col("close") / 2, "close": F.lit(-1.0)})
+    return price.daily_features(price.by_ticker(adjusted)).select("ticker", "date", "close", round6("daily_growth").alias("daily_growth"))
+
+
+@register("P09_drop_unfilled_columns", fx.with_tables(
+    f"""SELECT p.ticker, {fx.r6('coalesce(p.trailing_peg, m.med)')} AS trailing_peg, {fx.r6('coalesce(p.dividend_yield, 0.0)')} AS dividend_yield,
+  {fx.r6('coalesce(p.days_to_next_earnings, 66.0)')} AS days_to_next_earnings, 'note,remark' AS dropped
+FROM profile p LEFT JOIN (SELECT industry, median(trailing_peg) AS med FROM profile GROUP BY industry) m ON p.industry = m.industry""", profile=fx.PROFILE))
+def _p09(spark, d):
+    """Columns that no rule fills go, and are named."""
+    prof = src.profile(spark, d).withColumns({"note": F.col("esg_env"), "remark": F.when(F.length("ticker") > 1, F.col("sector"))})
+    out, dropped = ds.impute_dropping(prof.select("ticker", "industry", "trailing_peg", "dividend_yield", "days_to_next_earnings", "note", "remark"))
+    return out.select("ticker", *[round6(c).alias(c) for c in ("trailing_peg", "dividend_yield", "days_to_next_earnings")],
+                      F.lit(",".join(sorted(dropped))).alias("dropped"))
 
 
 @register("S12_S13_csv_roundtrip", price_sql.price_sql())
