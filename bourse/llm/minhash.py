@@ -12,13 +12,21 @@ has an empty set).  Two documents are linked if 100 * |A & B| >= 75 * |A | B|.
   no bucket with probability (1 - 0.75^4)^32 = 5e-6.
 * Documents with equal sets are one class before buckets are formed, so
   groups of copies never meet in a bucket.
-* In a bucket every member is compared with the hub (smallest random
-  priority) only, in buckets of at most ``SMALL`` members every member is a
-  hub.  A compared hub leaves the bucket; buckets whose rest still belongs to
-  several components go on with four times as many hubs, until each bucket
-  holds one component or one member.  No bucket is capped: pairs are left out
-  only when both ends are already connected.
-* Candidates are confirmed on the full shingle sets.
+* Each round compares the members of a bucket with its hub only, so a round
+  has fewer pairs than bucket memberships.  The hub is the member that shares
+  its buckets with the most others: in a group of edited copies that is one
+  close to the original.
+* A bucket whose rest still holds several components is split by further bins
+  (``SPLITS`` of them by round), so what is not similar parts instead of being
+  compared; the hub leaves.  From the second round on, buckets of at most
+  ``PAIRED`` members are compared in full and closed.  Pairs thus grow with
+  the memberships, not with the square of a group, and every bucket ends with
+  one component or used up.
+* Splitting may part a pair at the threshold in one bucket; it stays together
+  in others.  What that loses is measured (README).
+* Pairs whose 128 bins agree in fewer than ``AGREE`` are no links (a pair at the
+  threshold falls below with probability 1e-7); all others are confirmed on
+  the full shingle sets.
 
 Defined results: null text counts as empty; an empty set is linked with
 nothing; rows that share a doc_id count as one document; rows without one are
@@ -32,9 +40,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from .store import BROADCAST_IDS, join_ids, narrow, written
+from .store import drop, narrow, written
 from .text import grams, mix, text_slices, words_of
 
 SHINGLE = 5
@@ -42,7 +49,10 @@ BINS = 128
 ROWS = 4
 PROBES = 1024
 PERCENT = 75
-SMALL = 8
+SPLITS = (1, 2, 3, 4, 8)      # further bins by round, the last for all later ones
+PAIRED = (0, 8, 16, 32, 64)   # bucket sizes that are compared in full
+AGREE = 70                    # of 128 bins
+CODE = 64                     # further bins that a bucket can be split by
 
 
 def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -117,11 +127,14 @@ def _sketch(batches):
             two = np.zeros(n, np.uint64)
             np.add.at(one, d, mix(h))
             np.add.at(two, d, mix(h ^ np.uint64(0x5851F42D4C957F2D)))
+            # one byte of each bin, in an order that mixes the bands
+            byte = (sig >> np.uint64(7)).astype(np.uint8)[:, np.arange(BINS) * 37 % BINS]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(has, bands, 0))]), pa.int32()),
                                              pa.array(acc[has].reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists],
-                names=["doc_id", "n_shingles", "h1", "h2", "bands"])
+                [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists,
+                 pa.array([x.tobytes() for x in byte], pa.binary())],
+                names=["doc_id", "n_shingles", "h1", "h2", "bands", "bins"])
 
 
 def _sets(batches):
@@ -145,9 +158,11 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
 
-def _sized(df: DataFrame, n: int) -> DataFrame:
-    """``df`` for a join: broadcast if its counted rows are few."""
-    return F.broadcast(df) if n <= BROADCAST_IDS else df
+def _plausible(batches):
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("a_bins", "b_bins"))
+        ok = (a == b).sum(1) >= AGREE
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -160,71 +175,118 @@ def components(edges: DataFrame) -> DataFrame:
     while left != 0:
         ends = level.select("a", "b").unionByName(level.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = written(ends.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.col("u")).alias("m")), "parents")
-        n = near.count()
-        if not n:
+        if near.isEmpty():
             break
-        onto = _sized(near.select(F.col("u").alias("m"), F.col("m").alias("component")), n)
+        onto = near.select(F.col("u").alias("m"), F.col("m").alias("component"))
         step = written(near.join(onto, "m").select(F.col("u").alias("node"), "component"), "parents")
-        out = step if out is None else written(
-            out.join(_sized(step.select(F.col("node").alias("component"), F.col("component").alias("c")), n), "component", "left").select(
+        new = step if out is None else written(
+            out.join(step.select(F.col("node").alias("component"), F.col("component").alias("c")), "component", "left").select(
                 "node", F.coalesce("c", "component").alias("component")), "components")
-        ends = _sized(step.select(F.col("node").alias("a"), F.col("component").alias("x")), n)
-        others = _sized(step.select(F.col("node").alias("b"), F.col("component").alias("y")), n)
-        level = written(level.join(ends, "a").join(others, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
-        left = level.count()
+        ends, others = step.select(F.col("node").alias("a"), F.col("component").alias("x")), step.select(F.col("node").alias("b"), F.col("component").alias("y"))
+        rest = written(level.join(ends, "a").join(others, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        left = rest.count()
+        drop(near, level, *([out] if out is not None else []), *([step] if new is not step else []))
+        out, level = new, rest
+    drop(level)
     return out if out is not None else edges.sparkSession.createDataFrame([], "node long, component long")
 
 
+def _merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``comp`` (node, component) after ``links`` (a, b): only the components
+    that the links join are worked on."""
+    if comp is None:
+        return components(links)
+    ends = links
+    for c in ("a", "b"):
+        ends = ends.join(comp.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")), c, "left").withColumn(c, F.coalesce(f"c{c}", c)).drop(f"c{c}")
+    onto = components(ends.where("a <> b").select("a", "b").distinct())
+    if onto.isEmpty():
+        return comp
+    to = onto.select(F.col("node").alias("component"), F.col("component").alias("c"))
+    old = comp.join(to, "component", "left").select("node", F.coalesce("c", "component").alias("component"))
+    out = written(old.unionByName(onto.join(comp, "node", "left_anti")), "components")
+    drop(comp, onto)
+    return out
+
+
+def _candidates(state: DataFrame, keys: DataFrame, paired: int) -> DataFrame:
+    """(a, b): members of open buckets with their hub, and all pairs of
+    buckets with at most ``paired`` members; of different components and of
+    sizes that allow a link."""
+    may = (F.col("component") != F.col("ca")) & (100 * F.least("n_shingles", "na") >= PERCENT * F.greatest("n_shingles", "na"))
+    star = state.join(keys.where(F.col("size") > paired).select(
+        "key", F.col("hub.node").alias("a"), F.col("hub.n_shingles").alias("na"), F.col("hub.component").alias("ca")), "key")
+    pairs = star.where((F.col("node") != F.col("a")) & may).select("a", F.col("node").alias("b"))
+    if paired:
+        few = state.join(keys.where(F.col("size") <= paired).select("key"), "key")
+        left = few.select("key", F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("component").alias("ca"))
+        pairs = pairs.unionByName(few.join(left, "key").where((F.col("node") > F.col("a")) & may).select("a", F.col("node").alias("b")))
+    return pairs.distinct()
+
+
+def _confirmed(pairs: DataFrame, bins: DataFrame, sets: DataFrame) -> DataFrame:
+    """The linked ones of ``pairs``."""
+    for c in ("a", "b"):
+        pairs = pairs.join(bins.select(F.col("node").alias(c), F.col("bins").alias(f"{c}_bins")), c)
+    likely = written(pairs.select("a", "b", "a_bins", "b_bins").mapInArrow(_plausible, "a long, b long"), "pairs")
+    needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    some = sets.join(needed, "node", "left_semi")
+    both = (likely.join(some.select(F.col("node").alias("b"), F.col("shingles").alias("b_set")), "b")
+            .join(some.select(F.col("node").alias("a"), F.col("shingles").alias("a_set")), "a"))
+    # a repeated doc_id may stand for several texts: each of them counts
+    out = written(both.select("a", "b", "a_set", "b_set").mapInArrow(_confirm, "a long, b long").distinct(), "links")
+    drop(likely)
+    return out
+
+
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, components): ``members`` is (doc_id, n_shingles, node), node
     the smallest doc_id with the same shingle set; ``components`` is (node,
     component) for the nodes with a confirmed link."""
     base = narrow(docs)
-    sketch = written(base.mapInArrow(_sketch, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"), "sketch")
+    sketch = written(base.mapInArrow(_sketch, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, bins binary"), "sketch")
     same = ["n_shingles", "h1", "h2"]
     shared = written(sketch.where("n_shingles > 0").groupBy(*same).agg(
         F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies"), "classes")
-    members = sketch.join(_sized(shared, 2 * shared.count()), same, "left").withColumn("node", F.coalesce("node", "doc_id"))
-    rows = members.where("doc_id = node").select("node", "n_shingles", F.explode("bands").alias("bucket"))
-    members = members.select("doc_id", "n_shingles", "node")
-    crowded = written(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi")).where(
-        "lo <> hi").select("bucket", "size"), "crowded")
-    rows = written(rows.join(_sized(crowded, crowded.count()), "bucket").withColumn("priority", F.xxhash64("node", F.lit(7))), "buckets")
-    edges, comp, n_hubs = None, None, 1
-    state = rows.withColumn("component", F.col("node"))
+    members = sketch.join(shared, same, "left").withColumn("node", F.coalesce("node", "doc_id"))
+    # only keys and nodes meet here: 32 rows of each document
+    rows = members.where("doc_id = node").select("node", F.posexplode("bands").alias("band", "key"))
+    crowded = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+    crowded = written(crowded.where("lo <> hi").select("key", "size"), "crowded")
+    rows = written(rows.join(crowded, "key").select("key", "node", F.col("band").cast("byte").alias("band"), "size").distinct(), "buckets")
+    # what a node shares its buckets with: the hub of a bucket has the most
+    known = written(rows.groupBy("node").agg(F.sum(F.col("size") - 1).alias("shared")), "nodes")
+    bins = members.where("doc_id = node").select("node", "n_shingles", "bins").join(known, "node")
+    bins = written(bins.dropDuplicates(["node"]), "bins")
+    sets = written(base.join(known.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary"), "sets")
+    start = F.pmod(F.col("band").cast("int") * 61 + 17, F.lit(BINS))
+    state = written(rows.join(bins, "node").select(
+        "key", "node", "n_shingles", F.substring(F.concat("bins", "bins"), start + 1, F.lit(CODE)).alias("code"),
+        F.struct(-F.col("shared"), F.xxhash64("node", F.lit(7))).alias("priority"), F.col("node").alias("component")), "state")
+    drop(rows, crowded, known)
+    comp, n_round, used = None, 0, 0
     while True:
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("priority", "node"))
-        # all members of a small bucket are hubs
-        hubs = state.withColumn("r", rank).where((F.col("r") <= max(n_hubs, SMALL)) & ((F.col("r") <= n_hubs) | (F.col("size") <= SMALL)))
-        h = hubs.select("bucket", F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("component").alias("ca"),
-                        F.struct("priority", "node").alias("pa"))
-        # of two hubs, the one of smaller priority is compared with the other
-        pairs = state.join(h, "bucket").where(
-            (F.col("component") != F.col("ca")) & (F.struct("priority", "node") > F.col("pa"))
-            & (100 * F.least("n_shingles", "na") >= PERCENT * F.greatest("n_shingles", "na")))
-        pairs = written(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs")
-        n_pairs = pairs.count()
-        if n_pairs:
-            involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-            # a repeated doc_id may stand for several texts: each of them counts
-            found = join_ids(base, involved, "doc_id", 2 * n_pairs)
-            sets = written(found.mapInArrow(_sets, "node long, shingles binary"), "sets")
-            both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("b_set")), "b")
-                    .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set")), "a"))
-            new = both.select("a", "b", "a_set", "b_set").mapInArrow(_confirm, "a long, b long")
-            edges = written(new if edges is None else edges.unionByName(new), "links")
-            comp = components(edges)
-        # compared hubs leave; the rest of a large bucket may still be open
-        rows = state.where(F.col("size") > SMALL).withColumn("r", rank).where(F.col("r") > n_hubs).drop("r", "component")
+        paired, split = PAIRED[min(n_round, len(PAIRED) - 1)], SPLITS[min(n_round, len(SPLITS) - 1)]
+        keys = written(state.groupBy("key").agg(
+            F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+            F.min(F.struct("priority", "node", "n_shingles", "component")).alias("hub")).where("lo <> hi").drop("lo", "hi"), "keys")
+        if keys.isEmpty():
+            break
+        found = _confirmed(_candidates(state, keys, paired), bins, sets)
+        if not found.isEmpty():
+            comp = _merged(comp, found)
+        # hubs and buckets compared in full leave, the rest is split
+        rest = state.join(keys.where(F.col("size") > paired).select("key", F.col("hub.node").alias("hub")), "key").where("node <> hub")
+        rest = rest.withColumn("key", F.xxhash64("key", F.substring("code", used + 1, split))).drop("hub", "component")
         if comp is None:
-            state = rows.withColumn("component", F.col("node"))
+            rest = rest.withColumn("component", F.col("node"))
         else:
-            state = rows.join(_sized(comp, comp.count()), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_ = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-        state = written(state.join(open_, "bucket", "left_semi"), "open")
-        if state.isEmpty():
-            break
-        n_hubs *= 4
+            rest = rest.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        new = written(rest.select(state.columns), "state")
+        drop(state, keys, found)
+        state, used, n_round = new, used + split, n_round + 1
+    drop(state, keys, bins, sets)
+    members = members.select("doc_id", "n_shingles", "node")
     return members, comp if comp is not None else docs.sparkSession.createDataFrame([], "node long, component long")
 
 
@@ -241,6 +303,4 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document is the smallest of its component,
     and all rows without a doc_id."""
     gone = written(near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    n = gone.count()
-    return docs.join(F.broadcast(gone) if n <= 1_000_000 else gone,
-                     docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")

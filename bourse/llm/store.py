@@ -25,7 +25,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Remove tables of ``written`` after their last reader."""
+    for df in tables:
+        path = getattr(df, "written_at", None)
+        if path:
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where.getParent(), True)
 
 
 def join_ids(df: DataFrame, ids: DataFrame, key: str, n_ids: int, how: str = "left_semi") -> DataFrame:
