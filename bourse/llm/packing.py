@@ -18,7 +18,7 @@ ids) is packed by its length only:
   looks up its windows in the plan (a few thousand intervals).
 
 Defined results: null text is an empty document (one id, 0); repeated rows
-are packed each on its own; an empty table gives no pieces; other columns are
+and rows without a doc_id are packed each on its own; an empty table gives no pieces; other columns are
 not read.
 """
 
@@ -365,9 +365,12 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
         F.collect_set(F.struct("start", "length")).alias("spans")), "cuts")
     n_cut = cuts.count()
     if n_cut:
-        again = base.join(F.broadcast(cuts) if n_cut <= 100_000 else cuts, "doc_id")
+        cuts = cuts.withColumnRenamed("doc_id", "cut_id")  # documents without an id have one row there
+        again = base.join(F.broadcast(cuts) if n_cut <= 100_000 else cuts, F.col("doc_id").eqNullSafe(F.col("cut_id"))).drop("cut_id")
         crcs = again.mapInArrow(_recut(tokenizer, ranks), "doc_id long, doc_crc long, start long, length long, cut_crc long").distinct()
-        pieces = pieces.join(crcs, ["doc_id", "doc_crc", "start", "length"], "left").withColumn(
+        key = ["doc_id", "doc_crc", "start", "length"]
+        crcs = crcs.select("cut_crc", *[F.col(c).alias(f"cut_{c}") for c in key])
+        pieces = pieces.join(crcs, [F.col(c).eqNullSafe(F.col(f"cut_{c}")) for c in key], "left").withColumn(
             "ids_crc32", F.coalesce("ids_crc32", "cut_crc"))
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 

@@ -19,10 +19,14 @@ document included) is removed.
 Documents with equal texts are represented by the smallest doc_id; the number
 of copies decides that all their windows repeat.
 
+Rows whose doc_id is null or repeats get a key of their own per (doc_id, word
+sequence) for the work in between (``_row_keys``), so each text is judged as a
+document and no id passes through floating point.
+
 Defined results: null text counts as no words; shorter documents than one
-window lose nothing; ``doc_id`` rows that repeat are documents of their own
-copies group if their text is equal, else each is judged with its own text;
-an empty table gives an empty result; other columns are not read.
+window lose nothing; rows without a doc_id and rows that share one are
+documents of their own, each with a result for its own text; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -205,8 +209,7 @@ def _cut(window: int):
                 covered = np.zeros(len(w.doc) + 1, np.int64)
                 for i, packs in enumerate(part.column("starts").to_pylist()):
                     p = np.concatenate([np.frombuffer(x, "<i4") for x in packs]).astype(np.int64)
-                    # a start beyond the text belongs to another text of a repeated doc_id
-                    p = p[p + window <= n[i]] + first[i]
+                    p = p + first[i]
                     np.add.at(covered, p, 1)
                     np.add.at(covered, p + window, -1)
                 keep = np.cumsum(covered)[:-1] == 0
@@ -218,16 +221,51 @@ def _cut(window: int):
     return run
 
 
+def _with_digest(batches):
+    """The rows with the sha256 of their words joined."""
+    for batch in batches:
+        for part in text_slices(batch):
+            w = words_of(part.column("text"))
+            joined = _join_words(w, np.ones(len(w.doc), bool))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array([hashlib.sha256(x).hexdigest() for x in joined], pa.string())],
+                                             names=["doc_id", "text", "all_sha256"])
+
+
+def _row_keys(base: DataFrame, summary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``base`` and ``summary`` with doc_id replaced by a key that no two
+    different texts share; ``summary`` keeps the id as ``own_id``.  Ids that
+    are there once are their own keys, the others get numbers above all ids
+    (below, if there is no room)."""
+    summary = summary.withColumn("own_id", F.col("doc_id"))
+    odd = written(summary.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("odd_id")), "odd-ids")
+    if odd.isEmpty():
+        return base, summary
+    lo, hi = summary.agg(F.coalesce(F.min("doc_id"), F.lit(0)), F.coalesce(F.max("doc_id"), F.lit(0))).first()
+    if hi >= 1 << 62 and lo <= -(1 << 62):
+        raise ValueError("doc_ids leave no room for the keys of repeated ones")
+    same = F.col("doc_id").eqNullSafe(F.col("odd_id"))
+    rows = summary.join(odd, same, "left_semi").select("doc_id", "all_sha256").distinct()
+    number = F.monotonically_increasing_id()
+    keys = written(rows.select(F.col("doc_id").alias("odd_id"), F.col("all_sha256").alias("odd_sha"),
+                               (F.lit(hi + 1) + number if hi < 1 << 62 else F.lit(lo - 1) - number).alias("key")), "row-keys")
+    own = same & (F.col("all_sha256") == F.col("odd_sha"))
+    texts = base.join(odd, same, "left_semi").mapInArrow(_with_digest, "doc_id long, text string, all_sha256 string")
+    texts = written(texts.join(keys, own).select(F.col("key").alias("doc_id"), "text"), "odd-rows")
+    summary = summary.join(keys, own, "left").withColumn("doc_id", F.coalesce("key", "doc_id")).drop("odd_id", "odd_sha", "key")
+    return base.join(odd, same, "left_anti").unionByName(texts), written(summary, "digests")
+
+
 def repeated_passages(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(summary, cut).  ``summary`` has every document: doc_id, n_words,
-    all_sha256 (of all words joined by one space) and ``copied`` (an equal
-    word sequence of at least one window exists elsewhere, so every word
-    goes).  ``cut`` has the other documents that lose words: doc_id, n_words,
-    n_removed, kept_text."""
+    """(summary, cut).  ``summary`` has every document: own_id (its doc_id),
+    doc_id (its key), n_words, all_sha256 (of all words joined by one space)
+    and ``copied`` (an equal word sequence of at least one window exists
+    elsewhere, so every word goes).  ``cut`` has the other documents that lose
+    words: doc_id (the key), n_words, n_removed, kept_text."""
     block = (window + 1) // 2
     base = narrow(docs)
     n_buckets = _buckets(docs)
     summary = written(base.mapInArrow(_digests, "doc_id long, n_words long, all_sha256 string"), "digests")
+    base, summary = _row_keys(base, summary)
     groups = summary.groupBy("all_sha256", "n_words").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep")).where("copies > 1")
     groups = written(groups, "copies")
     copies = summary.where(f"n_words >= {window}").join(groups, ["all_sha256", "n_words"])
@@ -245,7 +283,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame,
     cut = reps.select("doc_id", "text").join(starts, "doc_id").mapInArrow(
         _cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
     summary = summary.join(groups.select("all_sha256", "n_words", F.lit(True).alias("copied")), ["all_sha256", "n_words"], "left")
-    return summary.select("doc_id", "n_words", "all_sha256",
+    return summary.select("own_id", "doc_id", "n_words", "all_sha256",
                           (F.coalesce("copied", F.lit(False)) & (F.col("n_words") >= window)).alias("copied")), cut
 
 
@@ -256,7 +294,7 @@ def removed_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every document."""
     summary, cut = repeated_passages(docs, window)
     cut = cut.where("n_removed > 0").select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("cut_sha256"))
-    return summary.join(cut, ["doc_id", "n_words"], "left").select(
-        "doc_id", "n_words",
+    return summary.join(cut.distinct(), ["doc_id", "n_words"], "left").select(
+        F.col("own_id").alias("doc_id"), "n_words",
         F.when(F.col("copied"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(F.col("copied"), F.lit(EMPTY_SHA256)).otherwise(F.coalesce("cut_sha256", "all_sha256")).alias("kept_sha256"))

@@ -7,6 +7,7 @@ bytes, or one document), so memory is bounded whatever the batch holds.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -15,6 +16,7 @@ import pyarrow as pa
 
 SLICE = 1 << 20
 SLICE_ROWS = 1 << 15
+LONG_WORD = 64
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -90,6 +92,9 @@ def words_of(texts: pa.Array, fold: bool = False) -> Words:
         back[0] = 1
         np.cumprod(back, out=back)
         h = mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64) * _STEP)
+        # the sum is linear modulo 2^64: words long enough to be built to collide get a digest
+        for i in np.flatnonzero(end - start > LONG_WORD):
+            h[i] = int.from_bytes(hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
     else:
         h = np.zeros(0, np.uint64)
     return Words(data, doc, start, end, h, len(texts))

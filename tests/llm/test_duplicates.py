@@ -82,6 +82,67 @@ def test_passages_equal_brute_force(docs, rows, size):
     assert got == passages_brute(rows, size)
 
 
+def test_repeated_and_null_ids_are_documents_of_their_own(spark, rows):
+    """Texts of one id, texts without id, ids beyond 2^53."""
+    word = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    p, q = word("p", 60), word("q", 50)
+    odd = [(1, word("a", 80)), (2, word("a", 80)), (2, f"{word('b', 30)} {p}"), (3, f"{word('c', 20)} {p} {word('d', 5)}"),
+           (None, f"{word('e', 10)} {q}"), (5, f"{word('f', 12)} {q}"), (None, "short"), (None, None), (2**60 + 1, f"{word('g', 9)} {q}"), (-7, word("h", 99)),
+           (8, word("i", 50)), (8, word("i", 50)), (9, "x y"), (9, "x y z")]
+    texts = {i: t for i, (_, t) in enumerate(odd)}
+    want = passages_brute([(i, t) for i, t in texts.items()], 35)
+    got = [tuple(r) for r in substring.removed_words(spark.createDataFrame(odd, "doc_id long, text string").repartition(3)).collect()]
+    assert sorted(got, key=str) == sorted([(odd[i][0], *v) for i, v in want.items()], key=str)
+    assert want[2][1] == want[3][1] == 60 and want[4][1] == want[5][1] == want[8][1] == 50
+
+
+def test_words_that_a_linear_hash_confuses(spark):
+    """The Thue-Morse word over ab and its complement."""
+    t = "a"
+    for _ in range(10):
+        t += t.translate(str.maketrans("ab", "ba"))
+    u = t.translate(str.maketrans("ab", "ba"))
+    from bourse.llm.text import words_of
+    import pyarrow as pa
+    assert len(set(words_of(pa.array([f"{t} {u} {t}"])).hash.tolist())) == 2
+    fill = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"{t} {t} {t} {t} {t} {fill}"), (2, f"{u} {u} {u} {u} {u}"), (3, f"{t} {t} {t} {t} {t}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 3}
+    got = {r[0]: tuple(r[1:]) for r in substring.removed_words(docs, 4).collect()}
+    assert got == passages_brute(rows, 4)
+
+
+def pairs_of_group(spark, monkeypatch, n):
+    """Pairs compared in a group of n documents of 120 words, 3 of them edited
+    at random."""
+    import random
+
+    rnd = random.Random(n)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for k in range(n):
+        w = list(base)
+        for i in rnd.sample(range(120), 3):
+            w[i] = f"e{k}-{i}"
+        rows.append((k, " ".join(w)))
+    seen = []
+    old = minhash._candidates
+    monkeypatch.setattr(minhash, "_candidates", lambda *a: (lambda df: (seen.append(df.count()), df)[1])(old(*a)))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    monkeypatch.setattr(minhash, "_candidates", old)
+    want = {d: v[1] for d, v in near_brute(rows).items()}
+    return sum(seen), got, want
+
+
+def test_pairs_grow_with_the_group_not_its_square(spark, monkeypatch):
+    small, got, want = pairs_of_group(spark, monkeypatch, 150)
+    # components found of those there are
+    assert len(set(got.values())) - len(set(want.values())) <= 0.1 * (150 - len(set(want.values())))
+    large, *_ = pairs_of_group(spark, monkeypatch, 300)
+    assert large <= 2.6 * small, (small, large)
+
+
 def test_empty_tables_and_null_ids(spark, no_docs):
     assert minhash.near_duplicates(no_docs).collect() == []
     assert substring.removed_words(no_docs).collect() == []
