@@ -4,10 +4,14 @@ Pages are grouped by host.  For each line with a word, the share of the
 host's pages that contain it is its boilerplate ratio; lines above ``RATIO``
 on at least ``MIN_PAGES`` pages are dropped from that host's pages.
 
-A page is a row, as in the SQL form.  Given the ``copies`` of ``copies_of``, a
-page is a distinct content instead: the rows of a near-duplicate group
-(operator 7) count once per host, for a line as for the host, and so do all
-rows without a word.  A text is then no boilerplate for being copied.
+A page is a row, as in the SQL form.  With ``by_content`` a text is no
+boilerplate for being copied: a page that consists for the most part (half of
+its characters) of lines above the ratio is a copy or near copy of others, or
+nothing but boilerplate, and stands for its content, named by the smallest
+hash among these lines.  Variants of one page keep most of its lines, so a
+group of copies has few such names, whatever its size.  Lines are counted
+again over distinct contents, for the host as well; rows without a word are
+one content.
 
 Lines travel as 128-bit hashes: one row per page and distinct line, summed
 per (host, line) before the shuffle.  Only pages that lose a line are joined
@@ -42,6 +46,19 @@ def _row_id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
 
 
+def _distinct_contents(pages: DataFrame, lines: DataFrame, often: DataFrame, min_pages: int, ratio: float) -> tuple[DataFrame, DataFrame]:
+    """(hits, dropped): the lines of pages that are in ``often``, and those of
+    them that are above the ratio when counted by contents."""
+    hits = written(lines.join(often.select("host", "line"), ["host", "line"], "left_semi"), "common-lines")
+    own = hits.groupBy("id", "host", "total").agg(F.sum("size").alias("common"), F.min("line").alias("content"))
+    own = written(own.where(2 * F.col("common") >= F.col("total")).select("id", "host", "content").distinct(), "contents")
+    name = F.coalesce("content", F.encode(F.col("id").cast("string"), "UTF-8"))
+    hosts = pages.select("id", "host", (F.size("lines") > 0).alias("inked")).join(own, ["id", "host"], "left").groupBy("host").agg(
+        (F.count_distinct(F.when(F.col("inked"), name)) + F.max(F.when(F.col("inked"), 0).otherwise(1))).alias("host_pages"))
+    again = hits.join(own, ["id", "host"], "left").groupBy("host", "line").agg(F.count_distinct(name).alias("pages"))
+    return hits, again.where(F.col("pages") >= min_pages).join(hosts, "host").where(F.col("pages") > ratio * F.col("host_pages"))
+
+
 def copies_of(docs: DataFrame) -> DataFrame:
     """(id, content) of the rows that are copies or near copies of another:
     ``content`` is the smallest id of their group.  Rows without a doc_id have
@@ -51,30 +68,37 @@ def copies_of(docs: DataFrame) -> DataFrame:
 
 
 def boilerplate_lines(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                      copies: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                      copies: DataFrame | None = None, by_content: bool = False) -> tuple[DataFrame, DataFrame]:
     """(lines, dropped): one row (doc_id, host, line) per page and distinct
-    line hash, and (host, line, pages, host_pages) of the dropped lines."""
+    line hash, at least for the dropped lines, and (host, line, pages,
+    host_pages) of these."""
     pages = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(host).cast("string"), F.lit("\0")).alias("host"),
                         F.array_distinct(F.filter(F.split("text", "\n", -1), _has_word)).alias("lines"), _row_id().alias("id"))
     if copies is None:
-        pages, count, host_count = pages.drop("id"), F.count(F.lit(1)), F.count(F.lit(1))
+        count, host_count = F.count(F.lit(1)), F.count(F.lit(1))
     else:
         pages = join_ids(pages, copies, "id", copies.count(), "left").withColumn("content", F.coalesce("content", "id"))
         inked = F.size("lines") > 0  # false for null text as well
         count = F.count_distinct("content")
         host_count = F.count_distinct(F.when(inked, F.col("content"))) + F.max(F.when(inked, 0).otherwise(1))
     hosts = pages.groupBy("host").agg(host_count.alias("host_pages"))
-    lines = pages.withColumn("line", F.explode("lines")).drop("lines", "id").withColumn("line", F.unhex(F.md5("line")))
+    each = pages.withColumn("line", F.explode("lines")).drop("lines")
+    if by_content:
+        total = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + F.length(x))
+        each = pages.withColumn("total", total).withColumn("line", F.explode("lines")).drop("lines").withColumn("size", F.length("line"))
+    lines = each.withColumn("line", F.unhex(F.md5("line")))
     often = lines.groupBy("host", "line").agg(count.alias("pages")).where(F.col("pages") >= min_pages)
     dropped = often.join(hosts, "host").where(F.col("pages") > ratio * F.col("host_pages"))
+    if by_content:
+        lines, dropped = _distinct_contents(pages, lines, written(dropped, "often"), min_pages, ratio)
     return lines.select("doc_id", "host", "line"), written(dropped, "dropped-lines")
 
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     count_as: str | None = None, copies: DataFrame | None = None) -> DataFrame:
+                     count_as: str | None = None, copies: DataFrame | None = None, by_content: bool = False) -> DataFrame:
     """``docs`` without its boilerplate lines; ``count_as`` names a column
     for the number of lines dropped from each row."""
-    lines, dropped = boilerplate_lines(docs, host, ratio, min_pages, copies)
+    lines, dropped = boilerplate_lines(docs, host, ratio, min_pages, copies, by_content)
     n = dropped.count()
     keys = dropped.select("host", "line")
     hits = lines.join(F.broadcast(keys) if n <= 200_000 else keys, ["host", "line"], "left_semi")
