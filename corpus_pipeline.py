@@ -23,9 +23,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the boilerplate lines of their source (operator 6);
-    n_chars follows the text.  Copies and near copies of a document count as
-    one page, so that the one near-dedup keeps still has its text."""
-    out = line_dedup.drop_boilerplate(docs, host="source", count_as="__lines", copies=line_dedup.copies_of(docs))
+    n_chars follows the text.  Lines are counted by distinct contents, so that
+    the one copy that near-dedup keeps still has its text."""
+    out = line_dedup.drop_boilerplate(docs, host="source", count_as="__lines", by_content=True)
     kind = docs.schema["n_chars"].dataType
     return out.withColumn("n_chars", F.when(F.col("__lines") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))).drop("__lines")
 
