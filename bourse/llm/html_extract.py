@@ -28,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-                   r"<(/?)([a-zA-Z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>\x00]*)", re.S)
+TAG_STOP = re.compile(r"[>\"']")
+REACH = 64  # ancestors that a block's points go to; beyond, their weight is below 0.2 %
 ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 SPACE = re.compile(r"[ \t\n\r\f\v\xa0  -     　\x85]+")
 
@@ -64,13 +65,14 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "words", "parent", "kids", "score", "chars", "link_chars", "skip")
+    __slots__ = ("tag", "words", "parent", "kids", "score", "chars", "link_chars", "skip", "in_article")
 
     def __init__(self, tag: str, words: frozenset, parent: Node | None, skip: bool):
         self.tag, self.words, self.parent, self.skip = tag, words, parent, skip
         self.kids: list = []  # nodes and strings, in page order
         self.score = 0.0
         self.chars = self.link_chars = 0
+        self.in_article = parent is not None and (parent.in_article or parent.tag in ("article", "main"))
 
 
 _SEEN: dict[str, tuple[frozenset, bool]] = {}  # pages repeat their attributes
@@ -98,12 +100,7 @@ def _is_boilerplate(tag: str, words: frozenset, hidden: bool, parent: Node) -> b
     if tag in SKIP or hidden:
         return True
     if tag == "header":  # a header inside the article holds its title
-        at: Node | None = parent
-        while at is not None:
-            if at.tag in ("article", "main"):
-                return False
-            at = at.parent
-        return True
+        return not (parent.in_article or parent.tag in ("article", "main"))
     if tag in ("html", "body", "article", "main"):
         return False
     marks = {w for w in words if w in NOT_TEXT or w.startswith(STEMS) or w.endswith(ENDINGS)}
@@ -112,12 +109,40 @@ def _is_boilerplate(tag: str, words: frozenset, hidden: bool, parent: Node) -> b
     return bool(marks - SOFT if words & ARTICLE else marks)
 
 
+class _Tags:
+    """Ends of the tags of a page: the first > outside quotes.  A quote that is
+    never closed is an ordinary character, and where no > follows there is no
+    tag; both are found out once."""
+
+    def __init__(self, page: str):
+        self.page, self.unclosed, self.last = page, set(), page.rfind(">")
+
+    def end(self, pos: int) -> int:
+        """The place of the >, or -1."""
+        start = pos
+        while pos <= self.last:
+            m = TAG_STOP.search(self.page, pos)
+            if m is None:
+                break
+            if m[0] == ">":
+                return m.start()
+            pos = m.end()
+            if m[0] not in self.unclosed:
+                shut = self.page.find(m[0], pos)
+                if shut < 0:
+                    self.unclosed.add(m[0])
+                else:
+                    pos = shut + 1
+        return self.page.find(">", start) if start <= self.last else -1
+
+
 def parse(page: str, by_words: bool = True) -> Node:
     """The tree of a page; text stands as strings among the children.
     ``by_words`` also marks boilerplate by class, id and role."""
     root = Node("html", frozenset(), None, False)
     at, pos, size = root, 0, len(page)
     open_tags: dict[str, int] = {}
+    tags = _Tags(page)
 
     def close(to: Node) -> Node:
         nonlocal at
@@ -138,6 +163,11 @@ def parse(page: str, by_words: bool = True) -> Node:
             if m[0].startswith("<![CDATA["):
                 at.kids.append(m[0][9:].removesuffix("]]>"))
             continue
+        stop = tags.end(pos)
+        if stop < 0:  # no tag from here on
+            at.kids.append(page[m.start():])
+            break
+        attrs, pos = page[pos:stop], stop + 1
         tag = m[2].lower()
         if m[1]:
             if open_tags.get(tag):
@@ -182,7 +212,6 @@ def parse(page: str, by_words: bool = True) -> Node:
                 close(found)
                 open_tags[found.tag] -= 1
                 at = found.parent
-        attrs = m[3]
         words, hidden = _words(attrs) if by_words and ("=" in attrs or "hidden" in attrs) else (frozenset(), False)
         node = Node(tag, words, at, at.skip or _is_boilerplate(tag, words, hidden, at))
         at.kids.append(node)
@@ -297,13 +326,28 @@ def extract(page: str | None) -> str:
         prose[id(owner)] = prose.get(id(owner), 0.0) + points
         # a block in p, li, td ... counts for its container
         at = owner.parent if owner.tag in ("p", "pre", "blockquote", "li", "dd", "dt", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6") and owner.parent else owner
+        at.chars += len(text)
+        at.link_chars += link
         depth = 0
-        while at is not None:
+        while at is not None and (depth < REACH or id(at) not in nodes):
             nodes[id(at)] = at
-            at.chars += len(text)
-            at.link_chars += link
-            at.score += points / (1, 2, 6, 12)[min(depth, 3)] / max(1, depth - 2)
+            if depth < REACH:
+                at.score += points / (1, 2, 6, 12)[min(depth, 3)] / max(1, depth - 2)
             at, depth = at.parent, depth + 1
+    # characters go up once every child has its own
+    waiting = dict.fromkeys(nodes, 0)
+    for n in nodes.values():
+        if n.parent is not None:
+            waiting[id(n.parent)] += 1
+    ready = [n for n in nodes.values() if not waiting[id(n)]]
+    while ready:
+        n = ready.pop()
+        if n.parent is not None:
+            n.parent.chars += n.chars
+            n.parent.link_chars += n.link_chars
+            waiting[id(n.parent)] -= 1
+            if not waiting[id(n.parent)]:
+                ready.append(n.parent)
     for n in nodes.values():
         if n.tag == "article" or "article" in n.words or n.words & {"articlebody"}:
             n.score += 2.0
@@ -326,12 +370,15 @@ def extract(page: str | None) -> str:
         for s in beside:
             if s.score * (1 - s.link_chars / max(s.chars, 1)) >= need or prose.get(id(s), 0.0) >= 1.5 or id(s) in title:
                 keep.add(id(s))
-    out = []
+    out, inside = [], {id(root): id(root) in keep}
     for owner, text, _ in found:
-        n: Node | None = owner
-        while n is not None and id(n) not in keep:
+        path, n = [], owner
+        while id(n) not in inside and id(n) not in keep:
+            path.append(n)
             n = n.parent
-        if n is not None:
+        kept = id(n) in keep or inside[id(n)]
+        inside.update((id(x), kept) for x in path)
+        if kept:
             out.append(text)
     return "\n\n".join(out)
 

@@ -114,3 +114,103 @@ def test_depth_and_length_are_not_limited():
     assert html_extract.extract(deep) == "in"
     many = "<article>" + "".join(f"<p>par {i}</p>" for i in range(5000)) + "</article>"
     assert html_extract.extract(many).count("\n\n") == 4999
+
+
+def plain_main_text(page):
+    """The scoring block by block: every block walks to the root and adds its
+    points, characters and links to each ancestor; every block looks upwards
+    for a kept node."""
+    h = html_extract
+    for by_words in (True, False):
+        root = h.parse(page, by_words)
+        found = h.blocks(root)
+        if found:
+            break
+    else:
+        return ""
+    seen, score, chars, links, prose = {}, {}, {}, {}, {}
+    for owner, text, link in found:
+        points = 0.0
+        if owner.tag not in h.HEADINGS and len(text) >= 25:
+            points = (1 + text.count(",") + min(len(text) / 100, 30)) * (1 - min(1, link / len(text)))
+        prose[id(owner)] = prose.get(id(owner), 0) + points
+        up = owner.tag in ("p", "pre", "blockquote", "li", "dd", "dt", "td", "th", *h.HEADINGS) and owner.parent
+        at, depth = owner.parent if up else owner, 0
+        while at is not None:
+            seen[id(at)] = at
+            k = id(at)
+            chars[k], links[k] = chars.get(k, 0) + len(text), links.get(k, 0) + link
+            if depth < h.REACH:
+                score[k] = score.get(k, 0) + points / (1, 2, 6, 12)[min(depth, 3)] / max(1, depth - 2)
+            at, depth = at.parent, depth + 1
+    for k, n in seen.items():
+        bonus = 2 if n.tag == "article" or "article" in n.words or "articlebody" in n.words else 0
+        score[k] = (score.get(k, 0) + bonus) * (1 - links[k] / max(chars[k], 1))
+        n.score, n.chars, n.link_chars = score[k], chars[k], links[k]
+    best = max(seen.values(), key=lambda n: score[id(n)])
+    if score[id(best)] <= 0:
+        best = next((n for n in seen.values() if n.tag in ("article", "main")), root)
+    at = best
+    while at is not None:
+        if at.tag in ("article", "main"):
+            best = at
+            break
+        at = at.parent
+    keep = {id(best)}
+    if best.parent is not None:
+        beside = [s for s in best.parent.kids if not isinstance(s, str) and (s is best or not s.skip)]
+        title = h._title(beside, best) if best.tag in ("article", "main") else {id(s) for s in beside if s.tag in h.HEADINGS}
+        for s in beside:
+            if s.score * (1 - s.link_chars / max(s.chars, 1)) >= max(3.0, best.score * 0.2) or prose.get(id(s), 0) >= 1.5 or id(s) in title:
+                keep.add(id(s))
+
+    def kept(n):
+        while n is not None:
+            if id(n) in keep:
+                return True
+            n = n.parent
+        return False
+    return "\n\n".join(t for o, t, _ in found if kept(o))
+
+
+def test_random_trees_equal_the_plain_scoring():
+    import random
+
+    rnd = random.Random(8)
+    texts = ["short", "a sentence, with a comma, that is long enough", "another one of them, a bit longer than the last, still plain", "x" * 300, "menu"]
+
+    def tree(depth):
+        tag = rnd.choice(["div", "div", "section", "p", "ul", "li", "article", "main", "h2", "a", "span", "header", "footer", "table", "td"])
+        attrs = rnd.choice(["", "", "", ' class="post"', ' class="sidebar"', ' id="article-body"', " hidden"])
+        kids = "".join(tree(depth + 1) if depth < 9 and rnd.random() < 0.62 else rnd.choice(texts) for _ in range(rnd.randint(1, 4)))
+        return f"<{tag}{attrs}>{kids}" + (f"</{tag}>" if rnd.random() < 0.95 else "")
+
+    some = 0
+    for _ in range(400):
+        page = tree(0)
+        got = html_extract.extract(page)
+        assert got == plain_main_text(page), page
+        some += bool(got)
+    assert some > 200
+
+
+def test_broken_tags_leave_no_markup():
+    for page, want in (('<p>Hello <a href="x>link</a> world, and more of it</p>', "Hello link world, and more of it"),
+                       ("<p>it's <b title='a>b'>bold</b>, really, it is</p>", "it's bold, really, it is"),
+                       ("<p>a < b and c > d, as they say here</p>", "a < b and c > d, as they say here")):
+        assert html_extract.extract(page) == want
+
+
+@pytest.mark.parametrize("page", [lambda n: "<div>Some text that is long enough, to count." * n, lambda n: "text <a " * n,
+                                  lambda n: 'x <a href="' * n + ">", lambda n: "<header>" * n + "some text, that is long enough here"])
+def test_time_grows_with_the_page(page):
+    import time
+
+    def seconds(n):
+        best = 9e9
+        for _ in range(2):
+            t = time.perf_counter()
+            html_extract.extract(page(n))
+            best = min(best, time.perf_counter() - t)
+        return best
+    assert seconds(16_000) < 12 * max(seconds(4_000), 0.02)
