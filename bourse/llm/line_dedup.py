@@ -31,8 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import minhash
-from .store import join_ids, written
+from .store import written
 
 RATIO = 0.02
 MIN_PAGES = 5
@@ -59,35 +58,20 @@ def _distinct_contents(pages: DataFrame, lines: DataFrame, often: DataFrame, min
     return hits, again.where(F.col("pages") >= min_pages).join(hosts, "host").where(F.col("pages") > ratio * F.col("host_pages"))
 
 
-def copies_of(docs: DataFrame) -> DataFrame:
-    """(id, content) of the rows that are copies or near copies of another:
-    ``content`` is the smallest id of their group.  Rows without a doc_id have
-    an id by their text."""
-    near = minhash.near_duplicates(docs.select(_row_id().alias("doc_id"), "text"))
-    return written(near.where(~F.col("kept")).groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("content")), "copies")
-
-
 def boilerplate_lines(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                      copies: DataFrame | None = None, by_content: bool = False) -> tuple[DataFrame, DataFrame]:
+                      by_content: bool = False) -> tuple[DataFrame, DataFrame]:
     """(lines, dropped): one row (doc_id, host, line) per page and distinct
     line hash, at least for the dropped lines, and (host, line, pages,
     host_pages) of these."""
     pages = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(host).cast("string"), F.lit("\0")).alias("host"),
                         F.array_distinct(F.filter(F.split("text", "\n", -1), _has_word)).alias("lines"), _row_id().alias("id"))
-    if copies is None:
-        count, host_count = F.count(F.lit(1)), F.count(F.lit(1))
-    else:
-        pages = join_ids(pages, copies, "id", copies.count(), "left").withColumn("content", F.coalesce("content", "id"))
-        inked = F.size("lines") > 0  # false for null text as well
-        count = F.count_distinct("content")
-        host_count = F.count_distinct(F.when(inked, F.col("content"))) + F.max(F.when(inked, 0).otherwise(1))
-    hosts = pages.groupBy("host").agg(host_count.alias("host_pages"))
+    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
     each = pages.withColumn("line", F.explode("lines")).drop("lines")
     if by_content:
         total = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + F.length(x))
         each = pages.withColumn("total", total).withColumn("line", F.explode("lines")).drop("lines").withColumn("size", F.length("line"))
     lines = each.withColumn("line", F.unhex(F.md5("line")))
-    often = lines.groupBy("host", "line").agg(count.alias("pages")).where(F.col("pages") >= min_pages)
+    often = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
     dropped = often.join(hosts, "host").where(F.col("pages") > ratio * F.col("host_pages"))
     if by_content:
         lines, dropped = _distinct_contents(pages, lines, written(dropped, "often"), min_pages, ratio)
@@ -95,10 +79,10 @@ def boilerplate_lines(docs: DataFrame, host: str = "source", ratio: float = RATI
 
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     count_as: str | None = None, copies: DataFrame | None = None, by_content: bool = False) -> DataFrame:
+                     count_as: str | None = None, by_content: bool = False) -> DataFrame:
     """``docs`` without its boilerplate lines; ``count_as`` names a column
     for the number of lines dropped from each row."""
-    lines, dropped = boilerplate_lines(docs, host, ratio, min_pages, copies, by_content)
+    lines, dropped = boilerplate_lines(docs, host, ratio, min_pages, by_content)
     n = dropped.count()
     keys = dropped.select("host", "line")
     hits = lines.join(F.broadcast(keys) if n <= 200_000 else keys, ["host", "line"], "left_semi")
