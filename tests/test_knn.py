@@ -1,6 +1,7 @@
 """Pivot k-NN against brute force, and what it saves."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -105,3 +106,55 @@ def test_invalid_rows_and_empty_tables(spark):
     assert [(r.id, r.train_id) for r in knn.neighbours(valid, valid, 3).lists.collect()] == [(1, 1)]
     with pytest.raises(ValueError):
         knn.neighbours(valid, valid, 3, p=3)
+
+
+def test_visits_grow_with_blocks_and_not_with_cells(spark, monkeypatch):
+    """Independent features, where no bound cuts: a query visits a block once,
+    however many cells it has to look at."""
+    rng = np.random.default_rng(11)
+    x, y = rng.normal(size=(1500, 24)), rng.normal(size=(100, 24))
+    monkeypatch.setattr(knn, "BLOCK", 500)
+    asked, search = [], knn._search
+
+    def spy(cells, visits, *rest):
+        asked.append(visits.count())
+        return search(cells, visits, *rest)
+
+    monkeypatch.setattr(knn, "_search", spy)
+    for p in (1, 2):
+        check(knn.neighbours(frame(spark, x, np.ones(1500)), frame(spark, y, np.ones(100)), 9, p), brute(x, y, 9, p))
+    assert len(asked) == 4 and max(asked) <= 100 * 6  # 39 cells of 1,500 rows, at most 6 blocks
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_visits_leave_in_bounded_batches(p):
+    """One batch of queries that all visit many cells is handed on in parts."""
+    rng = np.random.default_rng(12)
+    pivots = knn._Pivots(rng.normal(size=(50, 8)), np.zeros(50, int), np.zeros(50))
+    count = np.full(50, knn.BLOCK)  # a block each
+    blocks = knn._blocks(pivots, p, count)
+    n = 4000
+    v = pa.FixedSizeListArray.from_arrays(pa.array(rng.normal(size=n * 8)), 8).cast(pa.list_(pa.float64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(np.zeros(n, np.int32)), pa.array(np.zeros(n)), v, pa.array(np.full(n, 1e6))],
+                                       names=["id", "level", "weight", "v", "reach"])
+    out = list(knn._visits(pivots, p, blocks, count, np.zeros(50), np.full(50, 9.0), 5, False)([batch]))
+    assert sum(b.num_rows for b in out) == n * 49 and max(b.num_rows for b in out) <= knn.QUERIES
+
+
+@pytest.mark.parametrize("p", [1, 2])
+@pytest.mark.parametrize("scale", [1.0, 1e-6, 1e6, 1e20])
+def test_rows_closer_than_single_precision(spark, p, scale):
+    """Distances that differ by less than single precision holds, beside far
+    rows, are ordered as in double precision."""
+    rng = np.random.default_rng(13)
+    x = np.repeat(rng.normal(size=(40, 5)), 20, axis=0) * scale
+    x *= 1 + rng.integers(-40, 40, size=x.shape) * 1e-9
+    x[::97] *= 1e4
+    y = x[rng.choice(len(x), 30)] * (1 + 1e-8)
+    got = {}
+    for r in sorted(knn.neighbours(frame(spark, x, np.ones(len(x))), frame(spark, y, np.ones(30)), 7, p).lists.collect(), key=lambda r: (r.id, r.rank)):
+        got.setdefault(r.id, []).append((r.distance, r.train_id))
+    for i, q in enumerate(y):
+        d = knn.distance(x, q, p, 0, 0.0, 0, 0.0)
+        best = np.lexsort((np.arange(len(x)), d))[:7]
+        assert got[i] == [(float(d[b]), int(b)) for b in best]
