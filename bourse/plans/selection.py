@@ -3,7 +3,9 @@
 The grid has 46 points (12 trees, 18 forests, 16 k-nearest-neighbour voters)
 on 3 folds: 138 scores.  What points share is computed once:
 
-* the folds are cut and written once,
+* the folds are cut and written once, every fold spread over all partitions;
+  a fit shuffles the histograms of every node once per partition, so there is
+  one per ``FIT_ROWS`` rows and fits share the cores instead,
 * a forest of the largest size is fitted per fold, depth and split; its first
   50, 100 and 200 trees are the three sizes of the grid (``trees.score``),
 * one neighbour list per fold and distance, as long as the largest k, answers
@@ -38,6 +40,7 @@ from . import trees as tr
 FAMILIES = ("DecisionTree", "RandomForest", "KNN")
 WORKERS = 4
 N_SPLITS = 3
+FIT_ROWS = 16_384  # rows per partition of a fit
 # The reference's search space.  A depth of None is no limit.
 TREE_GRID = {"max_depth": [3, 5, 10, None], "min_samples_split": [2, 5, 10]}
 FOREST_GRID = {"n_estimators": [50, 100, 200], "max_depth": [5, 10, None], "min_samples_split": [2, 5]}
@@ -109,7 +112,7 @@ def _precision(pred: DataFrame, by: list[str]) -> list:
 def _fold_jobs(folded: DataFrame, value, n_splits: int):
     """(name, job) of all fits; a job gives {(family, params, fold): score}."""
     cuts = {f: folded.where(F.col("test_fold") == f).agg(F.min("row_idx")).first()[0] for f in range(n_splits)}
-    for f in range(n_splits):
+    for f in reversed(range(n_splits)):  # the longest fits first
         train, test = folded.where(F.col("row_idx") < cuts[f]), folded.where(F.col("test_fold") == f)
 
         def tree(params, train=train, test=test, f=f):
@@ -132,7 +135,7 @@ def _fold_jobs(folded: DataFrame, value, n_splits: int):
                 pred = pred.unionByName(v)
             return {("KNN", key, f): s for key, s in _precision(pred, ["g"])}
 
-        for params in points({k: v for k, v in FOREST_GRID.items() if k != "n_estimators"}):
+        for params in reversed(points({k: v for k, v in FOREST_GRID.items() if k != "n_estimators"})):
             yield forest, params
         for p in KNN_GRID["p"]:
             yield near, p
@@ -140,6 +143,14 @@ def _fold_jobs(folded: DataFrame, value, n_splits: int):
             yield tree, params
 
 
+def _dealt(folded: DataFrame) -> DataFrame:
+    """The folds in partitions by a hash of the row's position, written; the
+    order inside is fixed, since a forest draws its rows in it."""
+    folded = materialize(folded)
+    parts = max(1, -(-folded.count() // FIT_ROWS))
+    return materialize(folded.repartition(parts, "row_idx").sortWithinPartitions("row_idx"))
+
+
 def _headline(pred: DataFrame) -> tuple[float, float]:
     h = ev.headline(pred).first()
     return float(h["precision_1"]), float(h["accuracy"])
@@ -149,7 +160,7 @@ def search(train: DataFrame, test: DataFrame, n_splits: int = N_SPLITS, workers:
            order: list[str] | None = None) -> Selection:
     """L06 + L08 (see the module)."""
     spark = train.sparkSession
-    folded = materialize(ln.fold_ids(train, n_splits, order))
+    folded = _dealt(ln.fold_ids(train, n_splits, order))
     scores: dict[tuple, float] = {}
     with ThreadPoolExecutor(workers) as pool:
         for done in [pool.submit(job, arg) for job, arg in _fold_jobs(folded, value, n_splits)]:
@@ -165,7 +176,7 @@ def search(train: DataFrame, test: DataFrame, n_splits: int = N_SPLITS, workers:
                 top, best[family] = mean, params
     table = spark.createDataFrame(rows, "model string, model_order int, point int, params string, scores array<double>, mean_score double")
     with ThreadPoolExecutor(workers) as pool:
-        fitted = list(pool.map(lambda f: fit_predict(f, best[f], train, test), FAMILIES))
+        fitted = list(pool.map(lambda f: fit_predict(f, best[f], train if f == "KNN" else folded, test), FAMILIES))
     heads = [_headline(x.predictions) for x in fitted]
     families = spark.createDataFrame([(x.family, i, _key(x.params), m, a) for i, (x, (m, a)) in enumerate(zip(fitted, heads))],
                                      "model string, model_order int, params string, metric double, accuracy double")

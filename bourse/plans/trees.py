@@ -15,7 +15,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A node table is broadcast up to this many rows (about 64 bytes each).
+from ..operators.persist import materialize
+
+# Trees are broadcast together up to this many nodes (about 64 bytes each).
 BROADCAST_NODES = 500_000
 
 
@@ -55,15 +57,12 @@ def dense_value(feature: Column) -> Column:
     return F.get("features", feature)
 
 
-def leaves(forest: Forest, rows: DataFrame, value=dense_value) -> DataFrame:
-    """(id, tree, share): the leaf each row reaches in each tree; ``value``
-    turns a feature number into its value in the row."""
-    n_nodes = forest.nodes.count()
-    inner = forest.nodes.where("feature IS NOT NULL").select("tree", "node", "feature", "threshold", "left", "right")
-    ends = forest.nodes.where("feature IS NULL").select("tree", "node", "share")
-    if n_nodes <= BROADCAST_NODES:
+def _walk(forest: Forest, nodes: DataFrame, trees: list[int], rows: DataFrame, value, small: bool) -> DataFrame:
+    inner = nodes.where("feature IS NOT NULL").select("tree", "node", "feature", "threshold", "left", "right")
+    ends = nodes.where("feature IS NULL").select("tree", "node", "share")
+    if small:
         inner, ends = F.broadcast(inner), F.broadcast(ends)
-    at = rows.withColumns({"tree": F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))), "node": F.lit(0)})
+    at = rows.withColumns({"tree": F.explode(F.array(*map(F.lit, trees))), "node": F.lit(0)})
     for _ in range(forest.depth):
         down = F.when(value(F.col("feature")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
         at = at.join(inner, ["tree", "node"], "left").withColumn(
@@ -71,6 +70,35 @@ def leaves(forest: Forest, rows: DataFrame, value=dense_value) -> DataFrame:
     return at.join(ends, ["tree", "node"]).select("id", "tree", "share")
 
 
+def leaves(forest: Forest, rows: DataFrame, value=dense_value) -> DataFrame:
+    """(id, tree, share): the leaf each row reaches in each tree; ``value``
+    turns a feature number into its value in the row.  A large forest is
+    walked some trees at a time, as many as can be broadcast, so the rows are
+    not shuffled with their features at every level; only trees that alone
+    are too large are joined by a shuffle."""
+    sizes = {r["tree"]: r["n"] for r in forest.nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per tree
+    large, packs, room = [], [], 0
+    for tree in range(forest.trees):
+        n = sizes.get(tree, 0)
+        if n > BROADCAST_NODES:
+            large.append(tree)
+            continue
+        if not packs or n > room:
+            packs.append([])
+            room = BROADCAST_NODES
+        packs[-1].append(tree)
+        room -= n
+    every = [(pack, True) for pack in packs] + ([(large, False)] if large else [])
+    out = None
+    for trees, small in every:
+        nodes = forest.nodes if len(every) == 1 else forest.nodes.where(F.col("tree").isin(trees))
+        part = _walk(forest, nodes, trees, rows, value, small)
+        if len(every) > 1:
+            part = materialize(part)  # one pack is held at a time
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def score(forest: Forest, rows: DataFrame, sizes: list[int] | None = None, value=dense_value) -> DataFrame:
     """(id, size, probability, prediction) of class 1 by the first ``size``
     trees (default: all); an even vote goes to class 0."""

@@ -194,3 +194,36 @@ def test_runs_are_whole_or_absent(spark, sets, tmp_path, monkeypatch):
     path.write_text(path.read_text().replace("0", "1", 1))
     with pytest.raises(art.CorruptRunError):
         art.load_run(spark, folder, name=two)
+
+
+@pytest.mark.parametrize("limit", [1, 30, 60])
+def test_large_forest_is_walked_in_packs_of_trees(spark, sets, tmp_path, monkeypatch, limit):
+    """A forest above the limit is broadcast some trees at a time; only trees
+    above it are joined by a shuffle."""
+    train, test, layout = sets
+    model = sel.estimator("RandomForest", {"max_depth": 3, "min_samples_split": 2, "n_estimators": 6}).fit(train)
+    model.write().save(f"{tmp_path}/m")
+    forest = tr.node_table(spark, f"{tmp_path}/m", tr.depth_of(model), 6)
+    seen, walk = [], tr._walk
+    monkeypatch.setattr(tr, "BROADCAST_NODES", limit)
+    monkeypatch.setattr(tr, "_walk", lambda *a: seen.append((a[2], a[5])) or walk(*a))
+    rows = test.select("id", "features", "level")
+    got = {(r.id, r.tree): r.share for r in tr.leaves(forest, rows, layout.value).collect()}
+    sizes = {r.tree: r["count"] for r in forest.nodes.groupBy("tree").count().collect()}
+    assert sorted(t for trees, _ in seen for t in trees) == list(range(6))
+    assert all((sum(sizes[t] for t in trees) <= limit) if small else min(sizes[t] for t in trees) > limit for trees, small in seen)
+    monkeypatch.setattr(tr, "BROADCAST_NODES", 10**6)
+    assert got == {(r.id, r.tree): r.share for r in tr.leaves(forest, rows, layout.value).collect()} and len(got) == 6 * test.count()
+
+
+def test_every_fold_lies_in_every_partition(spark, sets, monkeypatch):
+    """Range-sorted folds would leave a fold's rows in a few partitions."""
+    train, _, _ = sets
+    monkeypatch.setattr(sel, "FIT_ROWS", 32)
+    folded = sel._dealt(ln.fold_ids(train, 3))
+    assert folded.rdd.getNumPartitions() == 4 and folded.count() == train.count()
+    where = folded.select("test_fold", "row_idx", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m")).collect()
+    assert {(r.test_fold, r.p) for r in where} == {(f, p) for f in (None, 0, 1, 2) for p in range(4)}
+    for p in range(4):
+        mine = [r.row_idx for r in sorted(where, key=lambda r: r.m) if r.p == p]
+        assert mine == sorted(mine)
