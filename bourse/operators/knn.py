@@ -376,8 +376,8 @@ def _search(cells: DataFrame, visits: DataFrame, count: np.ndarray, k: int, p: i
     if asked is None:
         asked = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}  # one row per block
     width = pivots.v.shape[1] if pivots else 1
-    # about eight parts per core where there are few
-    most = max(512, -(-sum(asked.values()) // (8 * spark.sparkContext.defaultParallelism)))
+    # about three parts per core where there are few: each part gets its block's rows
+    most = max(512, -(-sum(asked.values()) // (3 * spark.sparkContext.defaultParallelism)))
     most = max(1, min(QUERIES, VALUES // max(1, width), most))
     plan = [(int(c), int(-(-n // most))) for c, n in asked.items() if count[c]]
     table = F.broadcast(spark.createDataFrame(plan, "cell int, parts int"))
@@ -436,20 +436,31 @@ def neighbours(train: DataFrame, queries: DataFrame, k: int = 5, p: int = 2, mos
     return Neighbours(lists, int(compared), size)
 
 
-def vote(lists: DataFrame, queries: DataFrame, k: int, weights: str = "uniform") -> DataFrame:
-    """(id, label, prediction, probability of class 1) from the first k of
-    each list: any smaller k is answered by the same lists.  With
-    ``distance`` a neighbour counts 1 / d, unless some d is 0: then those
-    count alone.  Ties go to class 0; a query without a list has nulls."""
-    if weights not in ("uniform", "distance"):
+def votes(lists: DataFrame, queries: DataFrame, points: list[tuple[int, str]]) -> DataFrame:
+    """(k, weights, id, label, prediction, probability of class 1) from the
+    first k of each list, for every (k, weights) of ``points``: the lists of
+    the largest k answer all of them in one aggregation.  With ``distance`` a
+    neighbour counts 1 / d, unless some d is 0: then those count alone.  Ties
+    go to class 0; a query without a list has nulls."""
+    if any(w not in ("uniform", "distance") for _, w in points):
         raise ValueError("weights are uniform or distance")
-    d, one = F.col("distance"), F.col("label") == 1
-    each = F.lit(1.0) if weights == "uniform" else F.when(d > 0, 1 / d)
-    same = F.lit(False) if weights == "uniform" else d == 0
-    sums = lists.where(F.col("rank") <= k).groupBy("id").agg(
-        F.sum(each).alias("_all"), F.sum(F.when(one, each)).alias("_one"),
-        F.count_if(same).alias("_same"), F.count_if(same & one).alias("_same_one"))
-    share = F.when(F.col("_same") > 0, F.col("_same_one") / F.col("_same")).otherwise(F.coalesce("_one", F.lit(0.0)) / F.col("_all"))
-    sums = sums.select("id", share.alias("probability"))
-    return queries.select("id", "label").join(sums, "id", "left").select(
-        "id", "label", F.when(F.col("probability") > 0.5 + 1e-12, 1).when(F.col("probability").isNotNull(), 0).cast("int").alias("prediction"), "probability")
+    d, one, sums, each = F.col("distance"), F.col("label") == 1, [], []
+    for i, (k, w) in enumerate(points):
+        near = F.col("rank") <= k
+        worth = F.when(near, F.lit(1.0)) if w == "uniform" else F.when(near & (d > 0), 1 / d)
+        same = F.lit(False) if w == "uniform" else near & (d == 0)
+        sums.append(F.struct(F.sum(worth).alias("all"), F.sum(F.when(one, worth)).alias("one"),
+                             F.count_if(same).alias("same"), F.count_if(same & one).alias("same_one")).alias(f"_{i}"))
+        s = F.col(f"_{i}")
+        share = F.when(s["same"] > 0, s["same_one"] / s["same"]).otherwise(F.coalesce(s["one"], F.lit(0.0)) / s["all"])
+        each.append(F.struct(F.lit(k).alias("k"), F.lit(w).alias("weights"), share.alias("p")))
+    found = queries.select("id", "label").join(lists.groupBy("id").agg(*sums), "id", "left")
+    p = F.col("v.p")
+    return found.select("id", "label", F.explode(F.array(*each)).alias("v")).select(
+        "v.k", "v.weights", "id", "label", F.when(p > 0.5 + 1e-12, 1).when(p.isNotNull(), 0).cast("int").alias("prediction"), p.alias("probability"))
+
+
+def vote(lists: DataFrame, queries: DataFrame, k: int, weights: str = "uniform") -> DataFrame:
+    """(id, label, prediction, probability of class 1): ``votes`` of one k and
+    weighting."""
+    return votes(lists, queries, [(k, weights)]).drop("k", "weights")

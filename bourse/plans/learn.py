@@ -53,18 +53,23 @@ def as_vectors(df: DataFrame, features: str = "features") -> DataFrame:
     return df.withColumn("fv", array_to_vector(F.col(features).cast("array<double>")))
 
 
-def decision_tree(max_depth: int = 5, min_split: int = 2) -> DecisionTreeClassifier:
-    """L03.  ``min_samples_split`` has no pyspark twin; n maps to
+def min_rows(min_split: int) -> int:
+    """``min_samples_split`` has no pyspark twin; n maps to
     minInstancesPerNode = max(1, n // 2) (a child must keep half)."""
+    return max(1, min_split // 2)
+
+
+def decision_tree(max_depth: int = 5, min_split: int = 2) -> DecisionTreeClassifier:
+    """L03."""
     return DecisionTreeClassifier(featuresCol="fv", labelCol="label", maxDepth=max_depth,
-                                  minInstancesPerNode=max(1, min_split // 2), seed=SEED, cacheNodeIds=True)
+                                  minInstancesPerNode=min_rows(min_split), seed=SEED, cacheNodeIds=True)
 
 
 def random_forest(n_trees: int = 100, max_depth: int = 5, min_split: int = 2) -> RandomForestClassifier:
     """L04.  ``cacheNodeIds`` keeps each row's place in each tree, which gives
     the same trees without walking (and sending) them again for every level."""
     return RandomForestClassifier(featuresCol="fv", labelCol="label", numTrees=n_trees, maxDepth=max_depth,
-                                  minInstancesPerNode=max(1, min_split // 2), seed=SEED, cacheNodeIds=True)
+                                  minInstancesPerNode=min_rows(min_split), seed=SEED, cacheNodeIds=True)
 
 
 def predict(model, df: DataFrame) -> DataFrame:

@@ -3,15 +3,17 @@
 The grid has 46 points (12 trees, 18 forests, 16 k-nearest-neighbour voters)
 on 3 folds: 138 scores.  What points share is computed once:
 
-* the folds are cut and written once, every fold spread over all partitions;
-  a fit shuffles the histograms of every node once per partition, so there is
-  one per ``FIT_ROWS`` rows and fits share the cores instead,
-* a forest of the largest size is fitted per fold, depth and split; its first
-  50, 100 and 200 trees are the three sizes of the grid (``trees.score``),
+* the folds are cut and written once, every fold spread over all partitions,
+* trees and forests whose rows a task can hold are grown there (``grow``), all
+  folds in one job: one growth per fold, split and tree answers every depth
+  limit, and a forest's first 50, 100 and 200 trees are the three sizes,
+* larger ones are fitted by pyspark.ml, a forest of the largest size per fold,
+  depth and split (``trees.score``); a fit shuffles the histograms of every
+  node once per partition, so there is one per ``FIT_ROWS`` rows,
 * one neighbour list per fold and distance, as long as the largest k, answers
-  every k and weighting (``knn.vote``).
+  every k and weighting (``knn.votes``).
 
-Fits run through a pool of ``WORKERS`` driver threads, each of which only
+Jobs run through a pool of ``WORKERS`` driver threads, each of which only
 submits Spark jobs.  The best point of each family is refitted on all
 training rows and scored on the test rows; the family with the highest test
 precision wins (the reference's selection leak, kept), the first one on ties.
@@ -34,11 +36,12 @@ from ..operators import knn
 from ..operators.persist import materialize
 from ..session import checkpoint_dir
 from . import evaluate as ev
+from . import grow as gr
 from . import learn as ln
 from . import trees as tr
 
 FAMILIES = ("DecisionTree", "RandomForest", "KNN")
-WORKERS = 4
+WORKERS = 2  # a driver plans and tracks so many jobs at once
 N_SPLITS = 3
 FIT_ROWS = 16_384  # rows per partition of a fit
 # The reference's search space.  A depth of None is no limit.
@@ -53,7 +56,7 @@ DEFAULTS = {"DecisionTree": {"max_depth": 5, "min_samples_split": 2},
 class Fitted(NamedTuple):
     family: str
     params: dict
-    model: object          # a pyspark.ml model, or the training rows of KNN
+    model: object          # a pyspark.ml model, a grown one (``grow.Model``), or the training rows of KNN
     predictions: DataFrame  # id, label, prediction, probability
 
 
@@ -71,9 +74,12 @@ def _key(params: dict) -> str:
     return json.dumps(params, sort_keys=True)
 
 
+def _depth(params: dict) -> int:
+    return ln.MAX_DEPTH_NONE if params["max_depth"] is None else params["max_depth"]
+
+
 def estimator(family: str, params: dict):
-    depth = params["max_depth"]
-    depth = ln.MAX_DEPTH_NONE if depth is None else depth
+    depth = _depth(params)
     if family == "DecisionTree":
         return ln.decision_tree(depth, params["min_samples_split"])
     return ln.random_forest(params["n_estimators"], depth, params["min_samples_split"])
@@ -109,9 +115,59 @@ def _precision(pred: DataFrame, by: list[str]) -> list:
             for r in pred.groupBy(*by).agg(tp.alias("tp"), fp.alias("fp")).collect()]
 
 
-def _fold_jobs(folded: DataFrame, value, n_splits: int):
-    """(name, job) of all fits; a job gives {(family, params, fold): score}."""
-    cuts = {f: folded.where(F.col("test_fold") == f).agg(F.min("row_idx")).first()[0] for f in range(n_splits)}
+def _grown_rows(df: DataFrame, pos: str, since, test):
+    """Rows for ``grow``: they train the fits from ``since`` on and test one."""
+    level = F.col("level").cast("int") if "level" in df.columns else F.lit(0)
+    return df.select(F.col(pos).cast("long").alias("pos"), F.col("id").cast("long").alias("id"), F.col("label").cast("int").alias("label"),
+                     level.alias("level"), F.col("features").cast("array<double>").alias("features"),
+                     since.cast("int").alias("since"), test.cast("int").alias("test"))
+
+
+def _grow_folds(folded: DataFrame, cuts: dict, width: gr.Width) -> dict:
+    """The scores of all tree and forest points on all folds."""
+    wanted = [(TREE_GRID, "DecisionTree", (1,)), (FOREST_GRID, "RandomForest", tuple(sorted(FOREST_GRID["n_estimators"])))]
+    plan, names = [], {}
+    for f in cuts:
+        for grid, family, sizes in wanted:
+            depths = tuple(sorted({_depth(p) for p in points(grid)}))
+            plan += [gr.Growth(f, family, m, depths, sizes) for m in sorted({ln.min_rows(p["min_samples_split"]) for p in points(grid)})]
+            for p in points(grid):
+                names.setdefault((f, family, ln.min_rows(p["min_samples_split"]), _depth(p), p.get("n_estimators", 1)), []).append(_key(p))
+    since = F.lit(None)
+    for f in sorted(cuts, reverse=True):
+        since = F.when(F.col("row_idx") < cuts[f], f).otherwise(since)
+    # a row trains every fold from the first whose cut is behind it
+    rows = _grown_rows(folded, "row_idx", since, F.col("test_fold"))
+    pred = gr.predictions(gr.grow(rows, plan, width, ln.SEED), plan)
+    return {(at[1], key, at[0]): score for *at, score in _precision(pred, ["fit", "family", "min_rows", "depth", "size"]) for key in names.get(tuple(at), [])}
+
+
+def _grow_best(best: dict, folded: DataFrame, test: DataFrame, width: gr.Width) -> dict[str, Fitted]:
+    """The trees and forests of ``best`` fitted on all training rows."""
+    plan = [gr.Growth(0, f, ln.min_rows(p["min_samples_split"]), (_depth(p),), (p.get("n_estimators", 1),)) for f, p in best.items()]
+    asked = materialize(test.withColumn("_pos", F.monotonically_increasing_id()))
+    rows = _grown_rows(folded, "row_idx", F.lit(0), F.lit(None)).unionByName(_grown_rows(asked, "_pos", F.lit(None), F.lit(0)))
+    grown = gr.grow(rows, plan, width, ln.SEED, keep=True)
+    pred = materialize(gr.predictions(grown, plan))
+    out = {}
+    for f, p in best.items():
+        mine = pred.where(F.col("family") == f).select("id", "label", "prediction", "probability")
+        out[f] = Fitted(f, p, gr.Model(grown, f, estimator(f, p), width), mine)
+    return out
+
+
+def _cuts(folded: DataFrame, n_splits: int) -> dict:
+    """The first row of each test block."""
+    rows = folded.where(F.col("test_fold").isNotNull()).groupBy("test_fold").agg(F.min("row_idx").alias("at")).collect()
+    return {r["test_fold"]: r["at"] for r in rows}
+
+
+def _fold_jobs(folded: DataFrame, value, n_splits: int, width: gr.Width | None = None):
+    """(name, job) of all fits; a job gives {(family, params, fold): score}.
+    With a ``width`` trees and forests are grown in tasks."""
+    cuts = _cuts(folded, n_splits)
+    if width is not None:
+        yield lambda w: _grow_folds(folded, cuts, w), width
     for f in reversed(range(n_splits)):  # the longest fits first
         train, test = folded.where(F.col("row_idx") < cuts[f]), folded.where(F.col("test_fold") == f)
 
@@ -128,19 +184,18 @@ def _fold_jobs(folded: DataFrame, value, n_splits: int):
 
         def near(p, train=train, test=test, f=f):
             lists = knn.neighbours(_knn_rows(train), _knn_rows(test), max(KNN_GRID["n_neighbors"]), p).lists
-            rest = [x for x in points(KNN_GRID) if x["p"] == p]
-            votes = [knn.vote(lists, test, x["n_neighbors"], x["weights"]).withColumn("g", F.lit(_key(x))) for x in rest]
-            pred = votes[0]
-            for v in votes[1:]:
-                pred = pred.unionByName(v)
-            return {("KNN", key, f): s for key, s in _precision(pred, ["g"])}
-
-        for params in reversed(points({k: v for k, v in FOREST_GRID.items() if k != "n_estimators"})):
-            yield forest, params
+            rest = {(x["n_neighbors"], x["weights"]): _key(x) for x in points(KNN_GRID) if x["p"] == p}
+            pred = knn.votes(lists, test, list(rest))
+            return {("KNN", rest[k, w], f): s for k, w, s in _precision(pred, ["k", "weights"])}
+
+        if width is None:
+            for params in reversed(points({k: v for k, v in FOREST_GRID.items() if k != "n_estimators"})):
+                yield forest, params
         for p in KNN_GRID["p"]:
             yield near, p
-        for params in points(TREE_GRID):
-            yield tree, params
+        if width is None:
+            for params in points(TREE_GRID):
+                yield tree, params
 
 
 def _dealt(folded: DataFrame) -> DataFrame:
@@ -161,9 +216,10 @@ def search(train: DataFrame, test: DataFrame, n_splits: int = N_SPLITS, workers:
     """L06 + L08 (see the module)."""
     spark = train.sparkSession
     folded = _dealt(ln.fold_ids(train, n_splits, order))
+    width = gr.suits(folded, test)
     scores: dict[tuple, float] = {}
     with ThreadPoolExecutor(workers) as pool:
-        for done in [pool.submit(job, arg) for job, arg in _fold_jobs(folded, value, n_splits)]:
+        for done in [pool.submit(job, arg) for job, arg in _fold_jobs(folded, value, n_splits, width)]:
             scores |= done.result()
     rows, best = [], {}
     for order_, (family, grid) in enumerate(zip(FAMILIES, (TREE_GRID, FOREST_GRID, KNN_GRID))):
@@ -176,7 +232,10 @@ def search(train: DataFrame, test: DataFrame, n_splits: int = N_SPLITS, workers:
                 top, best[family] = mean, params
     table = spark.createDataFrame(rows, "model string, model_order int, point int, params string, scores array<double>, mean_score double")
     with ThreadPoolExecutor(workers) as pool:
-        fitted = list(pool.map(lambda f: fit_predict(f, best[f], train if f == "KNN" else folded, test), FAMILIES))
+        grown = pool.submit(_grow_best, {f: best[f] for f in FAMILIES if f != "KNN"}, folded, test, width) if width is not None else None
+        others = {f: pool.submit(fit_predict, f, best[f], train if f == "KNN" else folded, test) for f in FAMILIES if f == "KNN" or grown is None}
+        found = {f: x.result() for f, x in others.items()} | (grown.result() if grown else {})
+    fitted = [found[f] for f in FAMILIES]
     heads = [_headline(x.predictions) for x in fitted]
     families = spark.createDataFrame([(x.family, i, _key(x.params), m, a) for i, (x, (m, a)) in enumerate(zip(fitted, heads))],
                                      "model string, model_order int, params string, metric double, accuracy double")

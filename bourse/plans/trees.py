@@ -49,7 +49,7 @@ def depth_of(model) -> int:
 
 
 def trees_of(model) -> int:
-    return model.getNumTrees if hasattr(model, "trees") else 1
+    return getattr(model, "getNumTrees", 1)
 
 
 def dense_value(feature: Column) -> Column:
